@@ -14,8 +14,12 @@ def split_lines(text: Column) -> Column:
     A final line end does not open another line, and an empty text has no lines.
     """
     plain = F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
-    body = F.regexp_replace(plain, r"\n\z", "")
-    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(body, "\n"))
+    closed = F.left(plain, F.length(plain) - 1)
+    return (
+        F.when(text == "", F.array().cast("array<string>"))
+        .when(plain.endswith("\n"), F.split(closed, "\n"))
+        .otherwise(F.split(plain, "\n"))
+    )
 
 
 def leading_text(col: Column, n: int) -> Column:

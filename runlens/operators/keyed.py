@@ -97,10 +97,24 @@ def sum_fields(df: DataFrame, key: str | Sequence[str], value: str) -> DataFrame
     return df.groupBy(*keys).agg(sums.alias(value))
 
 
-# Partial buffers a task keeps before it hands them on.
+# Buffers a task holds; past this, those unused for longest are handed on.
 MAX_BUFFERS = 50_000
-# Tasks are spread over this many merge groups per key before the last merge.
-MERGE_SLOTS = 64
+_OUT_ROWS = 10_000
+# Rows reduced at a time: more rows mean fewer calls of the user's function.
+_REDUCE_ROWS = 100_000
+
+
+def _larger(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Neighbouring batches put together."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+        if sum(b.num_rows for b in held) >= _REDUCE_ROWS:
+            yield pa.Table.from_batches(held)
+            held = []
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 def aggregate_by_key(
@@ -118,36 +132,25 @@ def aggregate_by_key(
 
     ``reduce`` folds a frame of values into a buffer (a tuple with the fields of
     ``buffer``); ``merge`` joins two buffers; ``finish`` gives the fields of
-    ``result``.  Each task reduces its own rows first, so a hot key shuffles as a few
-    buffers.  With no keys the result is one row, ``finish(zero)`` for no input.
+    ``result``.  Each task reduces its own rows first, so a hot key shuffles as about
+    one buffer per task; sorted buffers are then merged one by one, and no group is
+    ever held in memory.  With no keys the result is one row, or none for no input.
     """
     keys, values = list(keys), list(values)
     key_type = T.StructType([df.schema[k] for k in keys])
-    slot = T.StructField("_slot", T.IntegerType())
-    partial_type = T.StructType([*key_type.fields, slot, *buffer.fields])
-    partial_arrow = to_arrow_schema(partial_type)
-    n, names = len(keys), partial_type.fieldNames()
-
-    def rows_of(batch: pa.RecordBatch, columns: Sequence[str]) -> Iterator[tuple]:
-        return zip(*(batch.column(c).to_pylist() for c in columns))
+    partial_type = T.StructType([*key_type.fields, *buffer.fields])
+    result_type = T.StructType([*key_type.fields, *result.fields])
+    partial_arrow, result_arrow = to_arrow_schema(partial_type), to_arrow_schema(result_type)
+    n = len(keys)
 
     def pack(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-        columns = zip(*rows)
-        arrays = [pa.array(c, f.type) for c, f in zip(columns, schema)]
+        arrays = [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)]
         return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     def partials(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Ordered by last use, so that hot keys stay.
         held: dict[tuple, tuple] = {}
-        slot_no = 0
-
-        def flush() -> pa.RecordBatch:
-            return pack([(*k, slot_no, *b) for k, b in held.items()], partial_arrow)
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            slot_no = batch.column("_slot")[0].as_py()
-            frame = batch.select(values).to_pandas()
+        for batch in _larger(batches):
             if keys:
                 # Arrow-backed keys: nulls group together and integers stay exact.
                 by = batch.select(keys).to_pandas(types_mapper=pd.ArrowDtype)
@@ -155,48 +158,44 @@ def aggregate_by_key(
             else:
                 codes = np.zeros(batch.num_rows, dtype=np.int64)
             order = np.argsort(codes, kind="stable")
-            cuts = np.flatnonzero(np.diff(codes[order])) + 1
-            for part in np.split(order, cuts):
-                first = int(part[0])
-                k = tuple(batch.column(c)[first].as_py() for c in keys)
-                held[k] = reduce(held.get(k, zero), frame.iloc[part])
+            edges = [0, *(np.flatnonzero(np.diff(codes[order])) + 1), batch.num_rows]
+            frame = batch.select(values).to_pandas().take(order)
+            names = batch.select(keys).take(pa.array(order[edges[:-1]])).to_pydict()
+            found = zip(*names.values()) if keys else [()]
+            for k, start, end in zip(found, edges, edges[1:]):
+                held[k] = reduce(held.pop(k, zero), frame.iloc[start:end])
             if len(held) > MAX_BUFFERS:
-                yield flush()
-                held.clear()
+                old = [(k, held.pop(k)) for k in list(held)[: len(held) // 2]]
+                yield pack([(*k, *b) for k, b in old], partial_arrow)
         if held:
-            yield flush()
+            yield pack([(*k, *b) for k, b in held.items()], partial_arrow)
 
-    def merged(batches: Iterator[pa.RecordBatch]) -> tuple[tuple, tuple]:
-        k: tuple = ()
-        total = zero
+    def finals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, mark, total, out = None, None, zero, []
         for batch in batches:
-            for row in rows_of(batch, names):
-                k, total = row[:n], merge(total, row[n + 1 :])
-        return k, total
-
-    def merge_slot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        k, total = merged(batches)
-        yield pack([(*k, 0, *total)], partial_arrow)
-
-    result_type = T.StructType([*key_type.fields, *result.fields])
-    result_arrow = to_arrow_schema(result_type)
-
-    def merge_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        k, total = merged(batches)
-        yield pack([(*k, *finish(total))], result_arrow)
-
-    tagged = df.select(
-        *keys,
-        *(v for v in values if v not in keys),
-        F.pmod(F.spark_partition_id(), F.lit(MERGE_SLOTS)).alias("_slot"),
-    )
-    parts = tagged.mapInArrow(partials, partial_type)
-    parts = parts.groupBy(*keys, "_slot").applyInArrow(merge_slot, partial_type)
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                # NaN keys are equal to each other.
+                this = tuple("NaN" if x != x else (x,) for x in row[:n])
+                if mark is not None and this != mark:
+                    out.append((*key, *finish(total)))
+                    total = zero
+                key, mark, total = row[:n], this, merge(total, row[n:])
+                if len(out) >= _OUT_ROWS:
+                    yield pack(out, result_arrow)
+                    out = []
+        if mark is not None:
+            out.append((*key, *finish(total)))
+        if out:
+            yield pack(out, result_arrow)
+
+    needed = [*keys, *(v for v in values if v not in keys)]
+    parts = df.select(*needed).mapInArrow(partials, partial_type)
     if keys:
-        return parts.groupBy(*keys).applyInArrow(merge_key, result_type)
-    # No key: at most MERGE_SLOTS buffers are left, and the empty input still has a row.
-    last = parts.coalesce(1).mapInArrow(merge_key, result_type)
-    return last
+        parts = parts.repartition(*keys).sortWithinPartitions(*keys)
+    else:
+        # One buffer per task at most.
+        parts = parts.repartition(1)
+    return parts.mapInArrow(finals, result_type)
 
 
 def combine_by_key(

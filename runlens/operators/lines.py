@@ -36,12 +36,13 @@ def batch_text(
     lines = split_lines(F.col(text))
     if each is not None:
         lines = F.transform(lines, each)
-    held = df.select(*keep, lines.alias("_lines")).filter(F.size("_lines") > 0)
-    starts = F.sequence(F.lit(0), F.size("_lines") - 1, F.lit(size))
-    cut = held.select(*keep, "_lines", F.posexplode(starts).alias("batch", "_start"))
-    return cut.select(
-        *keep, "batch", F.slice("_lines", F.col("_start") + 1, F.lit(size)).alias("lines")
-    )
+    held = df.select(*keep, lines.alias("_lines"))
+    count = F.size("_lines")
+    # Null, and so no batch, for a text without lines.
+    starts = F.when(count > 0, F.sequence(F.lit(1), count, F.lit(size)))
+    # The pieces are cut before the explode, so that no batch carries the whole text.
+    pieces = F.transform(starts, lambda at: F.slice(F.col("_lines"), at, F.lit(size)))
+    return held.select(*keep, F.posexplode(pieces).alias("batch", "lines"))
 
 
 def batch_rows(

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from runlens.functions import stages as labels
 from runlens.operators.skew import lookup_join
+from runlens.plans.staging import stage
 
 SUBMITTED = "stage_submitted"
 COMPLETED = "stage_completed"
@@ -104,6 +105,8 @@ def stage_progress(
     """
     known = known_stages(stages, ordered)
     if ordered:
+        # Read three times below, and far smaller than the tasks.
+        known = stage(known, "known-stages")
         tasks = after_submission(tasks, known)
     counts = task_counts(tasks, distinct_tasks)
     zero = F.lit(0).cast("bigint")

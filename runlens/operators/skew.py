@@ -6,8 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-MAX_BROADCAST_ROWS = 100_000
-MAX_BROADCAST_BYTES = 64 << 20
+MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 32 << 20
 HOT_SHARE = 0.001
 SALTS = 64
 

@@ -23,6 +23,8 @@ TASK_EVENTS = {
     "SparkListenerTaskEnd": TASK_END,
 }
 
+ROLLED_MARK = "/eventlog_v2_"
+
 STAGE_FIELDS = """
     Event STRING,
     `Stage Info` STRUCT<
@@ -51,9 +53,9 @@ def read_event_log(spark: SparkSession, path: str, streaming: bool = False) -> D
 
 def app_of(file: Column) -> Column:
     """Application id from the path of an event log file."""
-    rolled = F.regexp_extract(file, r"/eventlog_v2_([^/]+)/", 1)
-    single = F.regexp_extract(file, r"([^/.]+)[^/]*$", 1)
-    return F.when(rolled != "", rolled).otherwise(single)
+    rolled = F.substring_index(F.substring_index(file, ROLLED_MARK, -1), "/", 1)
+    single = F.substring_index(F.substring_index(file, "/", -1), ".", 1)
+    return F.when(file.contains(ROLLED_MARK), rolled).otherwise(single)
 
 
 def _mentions(names: dict[str, str]) -> Column:

@@ -41,12 +41,11 @@ def key_values(
     Lines that start with ``#`` and lines without a blank are dropped.  ``order`` names
     the columns that put the lines in sequence.
     """
-    parts = F.split(F.col(value), r"\s+", 2)
-    pairs = (
-        lines.filter(~F.col(value).startswith("#"))
-        .select(parts.alias("_parts"), F.struct(*order).alias("_at"))
-        .filter(F.size("_parts") == 2)
-        .select(F.col("_parts")[0].alias("key"), F.col("_parts")[1].alias("value"), "_at")
+    line = F.col(value)
+    pairs = lines.filter(~line.startswith("#") & line.rlike(r"\s")).select(
+        F.regexp_extract(line, r"^(\S*)\s+", 1).alias("key"),
+        F.regexp_extract(line, r"(?s)^\S*\s+(.*)", 1).alias("value"),
+        F.struct(*order).alias("_at"),
     )
     ignored = list(ignore)
     if ignored:

@@ -27,6 +27,7 @@ from runlens.operators.progress import (
     task_counts,
 )
 from runlens.operators.skew import lookup_join
+from runlens.plans.staging import stage
 from runlens.streaming.backoff import retrying
 
 # A stage without events for this long is forgotten by the strict rule.
@@ -89,6 +90,8 @@ def advance(
         (F.coalesce(old["stage_done"], F.lit(False)) | finished).alias("stage_done"),
         F.col("completed").isNotNull().alias("touched"),
     )
+    # Read three times below, and far smaller than the tasks.
+    merged = stage(merged, "known-stages")
     in_scope = lookup_join(tasks, merged.select(*STAGE_KEY, "since"), STAGE_KEY)
     counted = in_scope.filter(F.col("since").isNull() | (F.col("ts") >= F.col("since")))
     counts = task_counts(counted).withColumnsRenamed({"started": "more", "done": "ended"})
