@@ -14,6 +14,7 @@ zone prints like one with a zone.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F, types as T
@@ -27,7 +28,7 @@ HTML_ENTITIES = (
 )
 
 # Control characters other than tab, line feed and carriage return are dropped.
-_DROPPED = "".join(chr(c) for c in range(1, 32) if chr(c) not in "\t\n\r")
+_DROPPED = r"[\x00-\x08\x0b\x0c\x0e-\x1f]"
 
 
 def cell_text(col: Column, dtype: T.DataType) -> Column:
@@ -65,7 +66,7 @@ def _text(col: Column, dtype: T.DataType) -> Column:
 
 def html_escape(text: Column) -> Column:
     """Escape markup characters and drop control characters."""
-    out = F.translate(text, _DROPPED, "")
+    out = F.regexp_replace(text, _DROPPED, "")
     for char, entity in HTML_ENTITIES:
         out = F.replace(out, F.lit(char), F.lit(entity))
     return out
@@ -81,7 +82,7 @@ def html_header(names: Sequence[str]) -> str:
     """The header ``<tr>`` of a table."""
     cells = []
     for name in names:
-        name = name.translate({ord(c): None for c in _DROPPED})
+        name = re.sub(_DROPPED, "", name)
         for char, entity in HTML_ENTITIES:
             name = name.replace(char, entity)
         cells.append(f"<th>{name}</th>")

@@ -23,15 +23,16 @@ def manifest_diff(
 ) -> DataFrame:
     """Entries that pass every predicate and are in none of the known lists.
 
-    Both sides are deduplicated (map-side first) before the join, so a repeated entry
-    is no hot key.  A null entry counts as known when a known list holds a null.
+    One aggregation with map-side partials, so a repeated entry is no hot key, and a
+    null entry counts as known when a known list holds a null.
     """
+    known_tag = F.lit(True).alias("_known")
     wanted = reduce(DataFrame.union, (e.select(column) for e in entries))
-    wanted = wanted.filter(every(keep)).distinct()
-    if not known:
-        return wanted
-    seen = distinct_union(known, column).withColumnRenamed(column, "_known")
-    return wanted.join(seen, wanted[column].eqNullSafe(seen["_known"]), "left_anti")
+    tagged = wanted.filter(every(keep)).select(column, F.lit(False).alias("_known"))
+    for part in known:
+        tagged = tagged.union(part.select(column, known_tag))
+    found = tagged.groupBy(column).agg(F.bool_or("_known").alias("_known"))
+    return found.filter(~F.col("_known")).select(column)
 
 
 def without_ignored(

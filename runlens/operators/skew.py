@@ -10,6 +10,8 @@ MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 32 << 20
 HOT_SHARE = 0.001
 SALTS = 64
+# Items the frequent-items sketch follows; well above 1 / HOT_SHARE.
+_TRACKED = 16_384
 
 
 def is_small(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
@@ -25,14 +27,22 @@ def is_small(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES)
     return size["rows"] <= max_rows and size["bytes"] <= max_bytes
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys that hold more than ``share`` of the rows: never more than 1 / share."""
-    sizes = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-    total = sizes.agg(F.sum("_rows").alias("_total"))
-    floor = (total.first()["_total"] or 0) * share
-    rows = sizes.filter(F.col("_rows") > F.lit(floor)).select(*on).collect()
-    schema = df.select(*on).schema
-    return df.sparkSession.createDataFrame(rows, schema)
+def hot_hashes(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> list[int]:
+    """Hashes of the keys that hold about ``share`` of the rows or more.
+
+    A frequent-items sketch finds them, so only sketches are shuffled; there are never
+    more than 1 / share.  Which keys are found changes how a join is spread over
+    tasks, never its result.
+    """
+    most = max(1, int(1 / share))
+    key = F.xxhash64(*on)
+    top = f"approx_top_k(_key, {most}, {_TRACKED})"
+    found = df.select(key.alias("_key")).agg(
+        F.expr(top).alias("top"), F.count(F.lit(1)).alias("rows")
+    )
+    row = found.first()
+    floor = max(row["rows"] * share, 1)
+    return [t["item"] for t in row["top"] or () if t["count"] > floor]
 
 
 def lookup_join(
@@ -59,17 +69,9 @@ def salted_join(
 ) -> DataFrame:
     """Shuffled equi-join that spreads each hot key of ``big`` over ``salts`` tasks."""
     on = list(on)
-    hot = F.broadcast(hot_keys(big, on).withColumn("_hot", F.lit(True)))
+    hot = F.xxhash64(*on).isin(hot_hashes(big, on))
     spread = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
-    left = (
-        big.join(hot, on, "left")
-        .withColumn("_salt", F.when(F.col("_hot"), spread).otherwise(F.lit(0)))
-        .drop("_hot")
-    )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    right = (
-        table.join(hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    )
+    left = big.withColumn("_salt", F.when(hot, spread).otherwise(F.lit(0)))
+    copies = F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    right = table.withColumn("_salt", F.explode(copies))
     return left.join(right, [*on, "_salt"], how).drop("_salt")

@@ -5,15 +5,29 @@ from __future__ import annotations
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 
+# How often live progress is refreshed, and how often a log is polled.
+REFRESH = "250 milliseconds"
+POLL = "2 seconds"
+
+
 class Runner:
     """One streaming query that is started at most once at a time.
 
+    ``every`` is the pause between micro-batches, as soon as possible if not given.
     ``enabled=False`` makes :meth:`start` do nothing.  A stopped runner stays stopped;
     a new one with the same checkpoint continues where it left off.
     """
 
-    def __init__(self, writer: DataStreamWriter, checkpoint: str, enabled: bool = True):
+    def __init__(
+        self,
+        writer: DataStreamWriter,
+        checkpoint: str,
+        every: str | None = None,
+        enabled: bool = True,
+    ):
         self.writer = writer.option("checkpointLocation", checkpoint)
+        if every is not None:
+            self.writer = self.writer.trigger(processingTime=every)
         self.enabled = enabled
         self.query: StreamingQuery | None = None
         self.stopped = False

@@ -10,6 +10,7 @@ live listener does, and forgets stages that stay quiet.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -27,7 +28,6 @@ from runlens.operators.progress import (
     task_counts,
 )
 from runlens.operators.skew import lookup_join
-from runlens.plans.staging import stage
 from runlens.streaming.backoff import retrying
 
 # A stage without events for this long is forgotten by the strict rule.
@@ -57,13 +57,18 @@ def progress_updates(events: DataFrame) -> DataFrame:
 
 
 def advance(
-    before: DataFrame | None, batch: DataFrame, batch_id: int, ttl: timedelta = TTL
+    before: DataFrame | None,
+    batch: DataFrame,
+    batch_id: int,
+    ttl: timedelta = TTL,
+    hold: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
     """The stages known after a micro-batch of events, from those known before it.
 
     Events of stages known before all count.  For a stage first submitted in this
     batch, earlier events of the batch do not.  Events of other stages are dropped.
-    ``last`` in the result is the last batch that held an event of the stage.
+    ``last`` in the result is the last batch that held an event of the stage.  ``hold``
+    may keep a frame that is read several times.
     """
     stages, tasks = split_events(batch)
     found = stages.groupBy(*STAGE_KEY).agg(
@@ -90,8 +95,7 @@ def advance(
         (F.coalesce(old["stage_done"], F.lit(False)) | finished).alias("stage_done"),
         F.col("completed").isNotNull().alias("touched"),
     )
-    # Read three times below, and far smaller than the tasks.
-    merged = stage(merged, "known-stages")
+    merged = hold(merged)
     in_scope = lookup_join(tasks, merged.select(*STAGE_KEY, "since"), STAGE_KEY)
     counted = in_scope.filter(F.col("since").isNull() | (F.col("ts") >= F.col("since")))
     counts = task_counts(counted).withColumnsRenamed({"started": "more", "done": "ended"})
@@ -115,23 +119,24 @@ def write_strict_progress(
 ) -> DataStreamWriter:
     """Progress under the strict rule; changed stages go to ``path/rows/batch=<id>``.
 
-    ``path/state/batch=<id>`` holds the known stages after each micro-batch; only the
-    last one is needed.  Every step is an ordinary distributed aggregation or join, so
-    a hot stage is split like any hot key, and repeating a micro-batch replaces it.
+    ``path/state`` holds the known stages after the last two micro-batches, so that a
+    repeated one finds what it started from and replaces its own result.  Every step is
+    an ordinary distributed aggregation or join, so a hot stage is split like any key.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        before = None
-        if batch_id > 0:
-            before = spark.read.parquet(f"{path}/state/batch={batch_id - 1}")
-        state = f"{path}/state/batch={batch_id}"
+        read = batch.sparkSession.read
+
+        def rewrite(df: DataFrame, name: str) -> DataFrame:
+            df.write.mode("overwrite").parquet(f"{path}/{name}")
+            return read.parquet(f"{path}/{name}")
+
+        before = read.parquet(f"{path}/state/{(batch_id - 1) % 2}") if batch_id > 0 else None
         with cached(batch) as held:
-            advance(before, held, batch_id, ttl).write.mode("overwrite").parquet(state)
-        changed = spark.read.parquet(state).filter(F.col("last") == batch_id)
-        changed.drop("last", "seen").write.mode("overwrite").parquet(
-            f"{path}/rows/batch={batch_id}"
-        )
+            after = advance(before, held, batch_id, ttl, lambda df: rewrite(df, "known"))
+            after = rewrite(after, f"state/{batch_id % 2}")
+        changed = after.filter(F.col("last") == batch_id).drop("last", "seen")
+        rewrite(changed, f"rows/batch={batch_id}")
 
     return events.writeStream.foreachBatch(retrying(write, **retry))
 
