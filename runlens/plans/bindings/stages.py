@@ -5,11 +5,17 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from runlens.functions.stages import call_site, stage_action, stage_title_html
-from runlens.operators.progress import active, stage_progress, with_labels
+from runlens.operators.progress import TASK_END, TASK_START, active, stage_progress, with_labels
 from runlens.operators.requests import answer_requests, decode_requests, known_ids
 from runlens.plans.bindings.registry import query
 from runlens.plans.staging import new_folder
-from runlens.plans.tables import event_log_lines, item_events, load, order_events
+from runlens.plans.tables import (
+    app_of_key,
+    event_log_lines,
+    item_events,
+    load,
+    order_events,
+)
 from runlens.sources.eventlog import read_event_log, stage_events, task_events
 
 COUNTERS = ["app_id", "stage_id", "stage_name", "num_tasks", "started", "done", "stage_done"]
@@ -102,6 +108,35 @@ def stage_labels(spark, folder):
     )
 
 
+@query(
+    "stage_bar",
+    """
+    SELECT o_orderkey AS stage_id, CASE WHEN n = 0 THEN 0
+               ELSE CAST(floor(100e0 * done / n + 0.5e0) AS INTEGER) END AS done_pct,
+           CASE WHEN n = 0 THEN 0
+               ELSE CAST(floor(100e0 * (started - done) / n + 0.5e0) AS INTEGER) END AS ongoing_pct,
+           done || CASE WHEN started = done THEN '' ELSE ' + ' || (started - done) END
+               || ' / ' || n AS bar
+    FROM (
+        SELECT o_orderkey, CAST(any_value(o_custkey) % 8 AS INTEGER) AS n,
+               count(*) FILTER (WHERE l_returnflag <> 'N') AS started,
+               count(*) FILTER (WHERE l_returnflag = 'R') AS done
+        FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey)
+    """,
+)
+def stage_bar(spark, folder):
+    # Here an item has started once it has a return flag, and R ends it.
+    flag = F.col("l_returnflag")
+    kinds = F.when(flag == "R", F.array(F.lit(TASK_START), F.lit(TASK_END))).when(
+        flag != "N", F.array(F.lit(TASK_START))
+    )
+    tasks = load(spark, folder, "lineitem").select(
+        app_of_key("l_orderkey"), F.col("l_orderkey").alias("stage_id"), F.explode(kinds).alias("kind")
+    )
+    found = with_labels(stage_progress(order_events(load(spark, folder, "orders")), tasks))
+    return found.select("stage_id", "done_pct", "ongoing_pct", "bar")
+
+
 @query(
     "stage_active",
     """
@@ -146,7 +181,7 @@ def event_log_progress(spark, folder):
     named = lines.withColumn("log", F.concat(F.lit("eventlog_v2_"), "app"))
     named.select("log", "value").write.partitionBy("log").text(path)
     log = read_event_log(spark, path).withColumn(
-        "file", F.regexp_replace("file", "/log=eventlog", "/eventlog")
+        "file", F.replace("file", F.lit("/log=eventlog"), F.lit("/eventlog"))
     )
     found = stage_progress(stage_events(log), task_events(log))
     return found.withColumn("stage_id", F.col("stage_id").cast("bigint")).select(*COUNTERS)

@@ -32,7 +32,7 @@ def load_all(spark: SparkSession, folder: str, names: str) -> dict[str, DataFram
     return {name: load(spark, folder, name) for name in names.split()}
 
 
-def _app(key: str) -> Column:
+def app_of_key(key: str) -> Column:
     return F.concat(F.lit("app-"), (F.col(key) % 8).cast("string")).alias("app_id")
 
 
@@ -46,7 +46,7 @@ def order_events(orders: DataFrame) -> DataFrame:
         F.array(submitted)
     )
     return orders.select(
-        _app("o_orderkey"),
+        app_of_key("o_orderkey"),
         F.col("o_orderkey").alias("stage_id"),
         F.explode(found).alias("event"),
         (F.col("o_custkey") % 8).cast("int").alias("num_tasks"),
@@ -65,7 +65,7 @@ def item_events(lineitem: DataFrame) -> DataFrame:
     )
     found = F.when(F.col("l_linestatus") == "F", F.array(start, end)).otherwise(F.array(start))
     return lineitem.select(
-        _app("l_orderkey"),
+        app_of_key("l_orderkey"),
         F.col("l_orderkey").alias("stage_id"),
         F.explode(found).alias("event"),
         F.col("l_linenumber").alias("task_index"),

@@ -19,6 +19,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import SparkSession
@@ -29,7 +30,6 @@ SCHEMA = "file STRING, range BIGINT, pos BIGINT, value STRING"
 SPLIT_BYTES = 64 << 20
 
 _BLOCK = 1 << 20
-_ROWS = 8192
 _ARROW = pa.schema(
     [("file", pa.string()), ("range", pa.int64()), ("pos", pa.int64()), ("value", pa.string())]
 )
@@ -114,79 +114,74 @@ class TailReader(DataSourceStreamReader):
         return ranges
 
     def read(self, partition: FileRange) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple[int, str]] = []
-        for pos, line in _lines(partition):
-            rows.append((pos, line))
-            if len(rows) >= _ROWS:
-                yield _batch(partition, rows)
-                rows = []
-        if rows:
-            yield _batch(partition, rows)
+        for positions, lines in _lines(partition):
+            n = len(lines)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([partition.file] * n, pa.string()),
+                    pa.array(np.full(n, partition.start), pa.int64()),
+                    pa.array(positions, pa.int64()),
+                    _text(lines),
+                ],
+                schema=_ARROW,
+            )
 
     def commit(self, end: dict) -> None:
         pass
 
 
-def _batch(part: FileRange, rows: list[tuple[int, str]]) -> pa.RecordBatch:
-    n = len(rows)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([part.file] * n, pa.string()),
-            pa.array([part.start] * n, pa.int64()),
-            pa.array([r[0] for r in rows], pa.int64()),
-            pa.array([r[1] for r in rows], pa.string()),
-        ],
-        schema=_ARROW,
-    )
-
+def _lines(part: FileRange) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+    """Blocks of lines that start in the range, with their positions.
 
-def _lines(part: FileRange) -> Iterator[tuple[int, str]]:
-    """Lines that start in the range; the last may run past its end."""
+    The last line may run past the range.  A range that starts inside the new part of
+    a file is read from one byte early: what lies before its first line end belongs to
+    the range before.
+    """
+    pos = part.start - 1 if part.start > part.first else part.start
     system, inner = _open_fs(part.file)
-    with system.open_input_stream(inner) if part.start == 0 else _at(system, inner, part) as f:
-        # A split inside a line belongs to the split before: read from one byte early
-        # and skip to the line end found from there.
-        skip = part.start > part.first
-        pos = part.start - 1 if skip else part.start
-        rest = b""
-        done = pos
-        while done < part.limit:
+    with system.open_input_file(inner) as f:
+        f.seek(pos)
+        done, pending = pos, []
+        while pos < part.end and done < part.limit:
             block = f.read(min(_BLOCK, part.limit - done))
             if not block:
                 break
             done += len(block)
-            rest += block
-            pieces = rest.split(b"\n")
-            rest = pieces.pop()
-            for piece in pieces:
-                if skip:
-                    skip = False
-                elif pos >= part.end:
-                    return
-                else:
-                    yield from _text(pos, piece)
-                pos += len(piece) + 1
-            if not skip and pos >= part.end:
-                return
-
-
-def _at(system: fs.FileSystem, inner: str, part: FileRange):
-    f = system.open_input_file(inner)
-    f.seek(part.start - 1 if part.start > part.first else part.start)
-    return f
-
-
-def _text(pos: int, piece: bytes) -> Iterator[tuple[int, str]]:
-    """One line; a carriage return ends a line too."""
-    if piece.endswith(b"\r"):
-        piece = piece[:-1]
-    if b"\r" not in piece:
-        yield pos, piece.decode("utf-8", "replace")
-        return
-    at = 0
-    for part in re.split(b"\r", piece):
-        yield pos + at, part.decode("utf-8", "replace")
-        at += len(part) + 1
+            cut = block.rfind(b"\n") + 1
+            pending.append(block[:cut] if cut else block)
+            if not cut:
+                continue
+            body = b"".join(pending)
+            pending = [block[cut:]]
+            lines = body.split(b"\n")[:-1]
+            ends = np.cumsum(np.fromiter(map(len, lines), np.int64, len(lines)) + 1)
+            starts = pos + np.append(0, ends[:-1])
+            pos += len(body)
+            low, high = np.searchsorted(starts, [part.start, part.end])
+            starts, lines = starts[low:high], lines[low:high]
+            if b"\r" in body:
+                starts, lines = _split_returns(starts, lines)
+            if len(lines):
+                yield starts, lines
+
+
+def _split_returns(starts: np.ndarray, lines: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
+    """Lines cut at carriage returns; one right before the line feed cuts nothing."""
+    positions, out = [], []
+    for start, line in zip(starts, lines):
+        for piece in line.removesuffix(b"\r").split(b"\r"):
+            positions.append(start)
+            out.append(piece)
+            start += len(piece) + 1
+    return np.array(positions, np.int64), out
+
+
+def _text(lines: list[bytes]) -> pa.Array:
+    """UTF-8 text; bytes that are none become replacement characters."""
+    try:
+        return pa.array(lines, pa.binary()).cast(pa.string())
+    except pa.ArrowInvalid:
+        return pa.array([line.decode("utf-8", "replace") for line in lines], pa.string())
 
 
 class TailSource(DataSource):
