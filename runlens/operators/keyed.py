@@ -101,18 +101,20 @@ def sum_fields(df: DataFrame, key: str | Sequence[str], value: str) -> DataFrame
 MAX_BUFFERS = 50_000
 _OUT_ROWS = 10_000
 # Rows reduced at a time: more rows mean fewer calls of the user's function.
-_REDUCE_ROWS = 100_000
+_REDUCE_BYTES = 32 << 20
 
 
 def _larger(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """Neighbouring batches put together."""
     held: list[pa.RecordBatch] = []
+    size = 0
     for batch in batches:
         if batch.num_rows:
             held.append(batch)
-        if sum(b.num_rows for b in held) >= _REDUCE_ROWS:
+            size += batch.nbytes
+        if size >= _REDUCE_BYTES:
             yield pa.Table.from_batches(held)
-            held = []
+            held, size = [], 0
     if held:
         yield pa.Table.from_batches(held)
 

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from runlens.operators.skew import row_hash
 from runlens.plans.staging import stage
 
 # monotonically_increasing_id keeps the row's place in the low 33 bits.
@@ -27,16 +28,23 @@ def with_position(
     """Add the 0-based position of each row in its group, ordered by ``order``.
 
     Rows that tie get different positions in no particular order.  Null group keys
-    form a group of their own.  Costs one range shuffle and one written table.
+    form a group of their own.  Costs one range shuffle and one written table; with
+    neither group nor order, rows stay where they are and only the table is written.
     """
     keys = [*group, *order]
-    laid = (
-        df.withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(*keys, "_tie")
-        .sortWithinPartitions(*keys, "_tie")
-        .drop("_tie")
-        .withColumn("_at", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftright("_at", _PLACE_BITS))
+    laid = df
+    if keys:
+        # Rows with equal keys are told apart by what they hold and where they come
+        # from, so a repeated task sends each to the same place.
+        ties = {"_tie": row_hash(df), "_from": F.spark_partition_id()}
+        laid = (
+            df.withColumns(ties)
+            .repartitionByRange(*keys, *ties)
+            .sortWithinPartitions(*keys, *ties)
+            .drop(*ties)
+        )
+    laid = laid.withColumn("_at", F.monotonically_increasing_id()).withColumn(
+        "_part", F.shiftright("_at", _PLACE_BITS)
     )
     laid = stage(laid, "positions")
     # One row per group and partition: far fewer than the rows, and a group has at
@@ -65,9 +73,9 @@ def with_position(
 
 
 def dense_ids(
-    df: DataFrame, order: Sequence[str], first: int = 222223, name: str = "id"
+    df: DataFrame, order: Sequence[str] = (), first: int = 222223, name: str = "id"
 ) -> DataFrame:
-    """Consecutive ids as text, the first being ``first``, in the given order."""
+    """Consecutive ids as text from ``first`` on, in the given order or in any."""
     numbered = with_position(df, [], order, "_position")
     return numbered.withColumn(name, (F.col("_position") + F.lit(first)).cast("string")).drop(
         "_position"

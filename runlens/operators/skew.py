@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 32 << 20
@@ -64,13 +64,32 @@ def lookup_join(
     return salted_join(big, table, on, how)
 
 
+def row_hash(df: DataFrame) -> Column:
+    """Hash of a row's content (map columns left out, as they have no hash).
+
+    A lost task that runs again gives each of its rows the same value, whatever order
+    they come in; a row number would not.
+    """
+
+    def hashable(dtype: T.DataType) -> bool:
+        if isinstance(dtype, T.ArrayType):
+            return hashable(dtype.elementType)
+        if isinstance(dtype, T.StructType):
+            return all(hashable(f.dataType) for f in dtype.fields)
+        return not isinstance(dtype, (T.MapType, T.VariantType))
+
+    return F.xxhash64(*(F.col(f"`{f.name}`") for f in df.schema.fields if hashable(f.dataType)))
+
+
 def salted_join(
     big: DataFrame, table: DataFrame, on: Sequence[str], how: str = "inner", salts: int = SALTS
 ) -> DataFrame:
     """Shuffled equi-join that spreads each hot key of ``big`` over ``salts`` tasks."""
     on = list(on)
     hot = F.xxhash64(*on).isin(hot_hashes(big, on))
-    spread = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
+    # Equal rows of different tasks are spread by their tasks' numbers.
+    place = F.pmod(row_hash(big), F.lit(salts)) + F.spark_partition_id()
+    spread = F.pmod(place, F.lit(salts)).cast("int")
     left = big.withColumn("_salt", F.when(hot, spread).otherwise(F.lit(0)))
     copies = F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     right = table.withColumn("_salt", F.explode(copies))

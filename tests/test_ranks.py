@@ -33,6 +33,21 @@ def test_dense_ids(spark):
     assert [ids[k] for k in sorted(ids)] == [str(222223 + i) for i in range(50)]
 
 
+def test_dense_ids_in_any_order(spark):
+    df = spark.range(0, 1000, 1, 7).filter("id % 3 = 0")
+    rows = dense_ids(df, name="number").collect()
+    assert sorted(int(r["number"]) for r in rows) == list(range(222223, 222223 + 334))
+    assert len({r["id"] for r in rows}) == 334
+
+
+def test_rows_with_maps_and_equal_rows(spark):
+    df = spark.range(0, 400, 1, 3).select(F.lit(1).alias("k"), F.create_map(F.lit(1), F.lit(2)).alias("m"))
+    found = with_position(df, ["k"], ["k"]).collect()
+    assert sorted(r["position"] for r in found) == list(range(400))
+    table = spark.createDataFrame([(1, "x")], "k int, name string")
+    assert salted_join(df, table, ["k"], salts=4).count() == 400
+
+
 def test_random_ids(spark):
     ids = [r["u"] for r in random_ids(spark.range(50), "u").collect()]
     assert len(set(ids)) == 50 and all(len(i) == 36 for i in ids)
