@@ -17,7 +17,7 @@ from runlens.operators.keyed import (
     user_function,
 )
 from runlens.operators.ranks import dense_ids, random_ids
-from runlens.plans.bindings.registry import query
+from runlens.plans.bindings.registry import joined, query
 from runlens.plans.tables import load
 from runlens.sources.files import int_range, literal_rows
 
@@ -53,7 +53,7 @@ def scalar_udf(spark, folder):
     "struct_match",
     """
     SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'none' ELSE 'OK' END AS matched,
-           CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS customer
+           CASE WHEN o_orderstatus <> 'P' THEN o_custkey ELSE -1 END AS customer
     FROM orders
     """,
 )
@@ -64,7 +64,7 @@ def struct_match(spark, folder):
     return made.select(
         "o_orderkey",
         F.when(F.col("pair").isNotNull(), "OK").otherwise("none").alias("matched"),
-        F.col("pair.customer").alias("customer"),
+        F.coalesce("pair.customer", F.lit(-1)).alias("customer"),
     )
 
 
@@ -119,24 +119,27 @@ def salted_lookup(spark, folder):
     r AS (SELECT k.k, v, CASE WHEN n <= {RUN} THEN 0
               ELSE (row_number() OVER (PARTITION BY k.k ORDER BY v) - 1) // {RUN} END AS run
           FROM k JOIN s ON k.k = s.k)
-    SELECT k, run, list(v ORDER BY v) AS items FROM r GROUP BY k, run
+    SELECT k, run, string_agg(v, ',' ORDER BY v) AS items FROM r GROUP BY k, run
     """,
 )
 def prefix_groups(spark, folder):
     orders = load(spark, folder, "orders")
     keyed = orders.select(leading_text(F.col("o_orderkey"), 1).alias("k"), "o_orderkey")
-    return group_lists(keyed, "k", "o_orderkey", run_rows=RUN).orderBy("k", "run")
+    found = group_lists(keyed, "k", "o_orderkey", run_rows=RUN)
+    return found.withColumn("items", joined("items")).orderBy("k", "run")
 
 
 @query(
     "customer_orders",
     """
-    SELECT o_custkey, CAST(0 AS BIGINT) AS run, list(o_orderkey ORDER BY o_orderkey) AS items
+    SELECT o_custkey, CAST(0 AS BIGINT) AS run,
+           string_agg(o_orderkey, ',' ORDER BY o_orderkey) AS items
     FROM orders GROUP BY o_custkey
     """,
 )
 def customer_orders(spark, folder):
-    return group_lists(load(spark, folder, "orders"), "o_custkey", "o_orderkey")
+    found = group_lists(load(spark, folder, "orders"), "o_custkey", "o_orderkey")
+    return found.withColumn("items", joined("items"))
 
 
 @query(

@@ -14,7 +14,7 @@ from runlens.functions.text import (
 )
 from runlens.operators.lines import BATCH_LINES, batch_adjacent, batch_rows, batch_text, text_lines
 from runlens.operators.manifest import manifest_diff, without_ignored
-from runlens.plans.bindings.registry import query
+from runlens.plans.bindings.registry import joined, query
 from runlens.plans.staging import new_folder
 from runlens.plans.tables import load
 from runlens.sources.files import key_values, read_lines
@@ -28,7 +28,8 @@ LINES_SQL = r"""
                 FROM documents WHERE text <> ''))
 """
 BATCHES_SQL = f"""
-    SELECT doc_id, CAST(pos // {BATCH_LINES} AS INTEGER) AS batch, list(value ORDER BY pos) AS lines
+    SELECT doc_id, CAST(pos // {BATCH_LINES} AS INTEGER) AS batch,
+           string_agg(value, chr(10) ORDER BY pos) AS lines
     FROM ({LINES_SQL}) GROUP BY doc_id, pos // {BATCH_LINES}
 """
 IGNORED = ["The", "Is", "La"]
@@ -52,12 +53,14 @@ def kv_lines(spark, folder):
 
 @query("line_batches", BATCHES_SQL)
 def line_batches(spark, folder):
-    return batch_text(load(spark, folder, "documents"), ["doc_id"])
+    found = batch_text(load(spark, folder, "documents"), ["doc_id"])
+    return found.withColumn("lines", joined("lines", "\n"))
 
 
 @query("line_batches_grouped", BATCHES_SQL)
 def line_batches_grouped(spark, folder):
-    return batch_rows(text_lines(load(spark, folder, "documents"), ["doc_id"]), ["doc_id"])
+    found = batch_rows(text_lines(load(spark, folder, "documents"), ["doc_id"]), ["doc_id"])
+    return found.withColumn("lines", joined("lines", "\n"))
 
 
 @query(
@@ -86,7 +89,9 @@ def json_messages(spark, folder):
     message = batches.select("doc_id", "batch", encode_data(F.col("lines")).alias("message"))
     framed = F.col("message").startswith('{"data":[') & F.col("message").endswith("]}")
     data = decode_field(F.col("message"), "data", "ARRAY<STRING>")
-    return message.select("doc_id", "batch", framed.alias("framed"), data.alias("data"))
+    return message.select(
+        "doc_id", "batch", framed.alias("framed"), joined(data, "\n").alias("data")
+    )
 
 
 @query(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,3 +32,9 @@ def queries() -> dict[str, Query]:
 
 def oracles() -> dict[str, str]:
     return dict(_oracles)
+
+
+def joined(items: Column | str, mark: str = ",") -> Column:
+    """A list as one text, so that results compare as plain values."""
+    column = F.col(items) if isinstance(items, str) else items
+    return F.array_join(column.cast("array<string>"), mark)

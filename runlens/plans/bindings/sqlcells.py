@@ -49,7 +49,8 @@ cell(
     s AS (SELECT s_nationkey, count(*) AS suppliers FROM supplier GROUP BY s_nationkey),
     c AS (SELECT c_nationkey, count(*) AS customers, coalesce(CAST(sum(n) AS BIGINT), 0) AS pending
           FROM customer LEFT JOIN o ON c_custkey = o_custkey GROUP BY c_nationkey)
-    SELECT coalesce(c_nationkey, s_nationkey) AS nationkey, customers, pending, suppliers
+    SELECT coalesce(c_nationkey, s_nationkey) AS nationkey, coalesce(customers, 0) AS customers,
+           coalesce(pending, 0) AS pending, coalesce(suppliers, 0) AS suppliers
     FROM c FULL OUTER JOIN s ON c_nationkey = s_nationkey
     """,
 )
@@ -107,11 +108,11 @@ cell(
         SELECT user_id, hour, last_value(last_bought) IGNORE NULLS OVER (PARTITION BY user_id
             ORDER BY hour ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS earlier
         FROM hours)
-    SELECT event_id AS click_id, coalesce(in_hour, earlier) AS purchase_id
+    SELECT event_id AS click_id, coalesce(in_hour, earlier, -1) AS purchase_id
     FROM near JOIN carried USING (user_id, hour) WHERE event_type = 'click'
     """,
     """
-    SELECT c.event_id AS click_id, p.event_id AS purchase_id
+    SELECT c.event_id AS click_id, coalesce(p.event_id, -1) AS purchase_id
     FROM (SELECT * FROM events WHERE event_type = 'click') c
     ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'purchase') p
       ON c.user_id = p.user_id AND c.ts >= p.ts
@@ -132,11 +133,13 @@ cell(
     "rollup_cube_distinct",
     "lineitem",
     """
-    SELECT 'rollup' AS kind, l_returnflag, l_linestatus, count(*) AS n,
+    SELECT 'rollup' AS kind, coalesce(l_returnflag, '*') AS flag,
+           coalesce(l_linestatus, '*') AS status, count(*) AS n,
            count(DISTINCT l_suppkey) AS suppliers
     FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)
     UNION ALL
-    SELECT 'cube' AS kind, l_returnflag, l_linestatus, count(*) AS n,
+    SELECT 'cube' AS kind, coalesce(l_returnflag, '*') AS flag,
+           coalesce(l_linestatus, '*') AS status, count(*) AS n,
            count(DISTINCT l_linenumber) AS suppliers
     FROM lineitem GROUP BY CUBE (l_returnflag, l_linestatus)
     """,
@@ -172,8 +175,8 @@ cell(
     """
     WITH days AS (SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS n FROM events
                   GROUP BY user_id, CAST(ts AS DATE))
-    SELECT user_id, day, CAST(sum(n) OVER w AS BIGINT) AS three_days,
-           lag(n) OVER (PARTITION BY user_id ORDER BY day) AS before
+    SELECT user_id, CAST(day AS STRING) AS day, CAST(sum(n) OVER w AS BIGINT) AS three_days,
+           coalesce(lag(n) OVER (PARTITION BY user_id ORDER BY day), 0) AS before
     FROM days
     WINDOW w AS (PARTITION BY user_id ORDER BY day ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)
     """,
@@ -226,18 +229,18 @@ cell(
     "orders",
     """
     SELECT o_orderkey, CAST(year(o_orderdate) AS INT) AS y, CAST(quarter(o_orderdate) AS INT) AS q,
-           CAST(month(o_orderdate) AS INT) AS m, CAST(o_orderdate AS DATE) AS day,
-           CAST(date_trunc('MONTH', o_orderdate) AS DATE) AS month_start,
+           CAST(month(o_orderdate) AS INT) AS m, CAST(CAST(o_orderdate AS DATE) AS STRING) AS day,
+           CAST(CAST(date_trunc('MONTH', o_orderdate) AS DATE) AS STRING) AS month_start,
            datediff(CAST(o_orderdate AS DATE), DATE '1995-01-01') AS days,
-           last_day(CAST(o_orderdate AS DATE)) AS month_end
+           CAST(last_day(CAST(o_orderdate AS DATE)) AS STRING) AS month_end
     FROM orders
     """,
     """
     SELECT o_orderkey, CAST(year(o_orderdate) AS INT) AS y, CAST(quarter(o_orderdate) AS INT) AS q,
-           CAST(month(o_orderdate) AS INT) AS m, CAST(o_orderdate AS DATE) AS day,
-           CAST(date_trunc('MONTH', o_orderdate) AS DATE) AS month_start,
+           CAST(month(o_orderdate) AS INT) AS m, CAST(CAST(o_orderdate AS DATE) AS STRING) AS day,
+           CAST(CAST(date_trunc('MONTH', o_orderdate) AS DATE) AS STRING) AS month_start,
            CAST(date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) AS INT) AS days,
-           last_day(CAST(o_orderdate AS DATE)) AS month_end
+           CAST(last_day(CAST(o_orderdate AS DATE)) AS STRING) AS month_end
     FROM orders
     """,
 )
@@ -259,12 +262,12 @@ cell(
     "documents",
     """
     SELECT doc_id, size(words) AS n, array_contains(words, 'the') AS has_the,
-           array_sort(array_distinct(words)) AS sorted, element_at(words, 1) AS head
+           array_join(array_sort(array_distinct(words)), ' ') AS sorted, element_at(words, 1) AS head
     FROM (SELECT doc_id, split(text, ' ') AS words FROM documents)
     """,
     """
     SELECT doc_id, CAST(len(words) AS INT) AS n, list_contains(words, 'the') AS has_the,
-           list_sort(list_distinct(words)) AS sorted, words[1] AS head
+           array_to_string(list_sort(list_distinct(words)), ' ') AS sorted, words[1] AS head
     FROM (SELECT doc_id, string_split(text, ' ') AS words FROM documents)
     """,
 )
@@ -273,13 +276,13 @@ cell(
     "scalar_map",
     "orders",
     """
-    SELECT o_orderkey, try_element_at(m, 'F') AS finished, size(m) AS entries,
-           array_sort(map_keys(m)) AS names
+    SELECT o_orderkey, coalesce(try_element_at(m, 'F'), -1) AS finished, size(m) AS entries,
+           array_join(array_sort(map_keys(m)), ',') AS names
     FROM (SELECT o_orderkey, map(o_orderstatus, o_custkey, 'key', o_orderkey) AS m FROM orders)
     """,
     """
-    SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_custkey END AS finished,
-           CAST(2 AS INTEGER) AS entries, list_sort([o_orderstatus, 'key']) AS names
+    SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_custkey ELSE -1 END AS finished,
+           CAST(2 AS INTEGER) AS entries, array_to_string(list_sort([o_orderstatus, 'key']), ',') AS names
     FROM orders
     """,
 )
@@ -289,12 +292,12 @@ cell(
     "events",
     """
     SELECT event_id, CAST(get_json_object(props, '$.k') AS INT) AS k,
-           get_json_object(props, '$.missing') AS missing
+           coalesce(get_json_object(props, '$.missing'), 'none') AS missing
     FROM events
     """,
     """
     SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
-           json_extract_string(props, '$.missing') AS missing
+           coalesce(json_extract_string(props, '$.missing'), 'none') AS missing
     FROM events
     """,
 )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from runlens.functions.stages import call_site, stage_action, stage_title_html
 from runlens.operators.progress import TASK_END, TASK_START, active, stage_progress, with_labels
 from runlens.operators.requests import answer_requests, decode_requests, known_ids
-from runlens.plans.bindings.registry import query
+from runlens.plans.bindings.registry import joined, query
 from runlens.plans.staging import new_folder
 from runlens.plans.tables import (
     app_of_key,
@@ -217,9 +217,10 @@ def cancel_requests(spark, folder):
         SELECT DISTINCT 'app-' || (o_orderkey % 8) AS app_id, o_orderkey AS stage_id FROM orders
     ),
     r AS (SELECT *, row_number() OVER (PARTITION BY app_id ORDER BY stage_id) - 1 AS n FROM ids)
-    SELECT app_id, n // {ID_RUN} AS run, list(stage_id ORDER BY stage_id) AS items
+    SELECT app_id, n // {ID_RUN} AS run, string_agg(stage_id, ',' ORDER BY stage_id) AS items
     FROM r GROUP BY app_id, n // {ID_RUN}
     """,
 )
 def known_stage_ids(spark, folder):
-    return known_ids(order_events(load(spark, folder, "orders")), ["app_id"], run_rows=ID_RUN)
+    found = known_ids(order_events(load(spark, folder, "orders")), ["app_id"], run_rows=ID_RUN)
+    return found.withColumn("items", joined("items"))
