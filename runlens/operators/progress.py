@@ -148,5 +148,9 @@ def with_labels(progress: DataFrame) -> DataFrame:
 
 def active(progress: DataFrame, now: datetime, keep: bool = False) -> DataFrame:
     """Stages on display: unfinished ones, and finished ones for a short while."""
-    gone = F.col("stage_done") & (F.col("done_ts") <= F.lit(now - LINGER))
+    limit = F.lit(now - LINGER)
+    if now.tzinfo is None:
+        # Wall-clock time of the session, whether or not the events carry a zone.
+        limit = F.lit(str(now - LINGER)).cast(progress.schema["done_ts"].dataType)
+    gone = F.col("stage_done") & (F.col("done_ts") <= limit)
     return progress if keep else progress.filter(~F.coalesce(gone, F.lit(False)))

@@ -65,7 +65,7 @@ def _mentions(names: dict[str, str]) -> Column:
 def _kind(names: dict[str, str]) -> Column:
     kind = F.lit(None).cast("string")
     for name, ours in names.items():
-        kind = F.when(F.col("e.Event") == name, F.lit(ours)).otherwise(kind)
+        kind = F.when(F.col("Event") == name, F.lit(ours)).otherwise(kind)
     return kind
 
 
@@ -74,14 +74,17 @@ def _time(first_kind: str, first: Column, other: Column) -> Column:
 
 
 def _parsed(log: DataFrame, names: dict[str, str], fields: str) -> DataFrame:
-    event = F.from_json("value", fields).alias("e")
-    hits = log.filter(_mentions(names)).select(app_of(F.col("file")).alias("app_id"), event)
-    return hits.withColumn("kind", _kind(names)).filter(F.col("kind").isNotNull())
+    hits = log.filter(_mentions(names))
+    # As a generator the parser runs once a line; as a plain column it would run again
+    # for every filter on its fields.
+    parsed = F.inline(F.array(F.from_json("value", fields)))
+    rows = hits.select(app_of(F.col("file")).alias("app_id"), parsed)
+    return rows.withColumn("kind", _kind(names)).filter(F.col("kind").isNotNull())
 
 
 def stage_events(log: DataFrame) -> DataFrame:
     """Stage submissions and completions of event log lines."""
-    info = F.col("e")["Stage Info"]
+    info = F.col("Stage Info")
     return _parsed(log, STAGE_EVENTS, STAGE_FIELDS).select(
         "app_id",
         info["Stage ID"].alias("stage_id"),
@@ -94,11 +97,11 @@ def stage_events(log: DataFrame) -> DataFrame:
 
 def task_events(log: DataFrame) -> DataFrame:
     """Task starts and ends of event log lines."""
-    info = F.col("e")["Task Info"]
+    info = F.col("Task Info")
     unusable = F.coalesce(info["Failed"], F.lit(False)) | F.coalesce(info["Killed"], F.lit(False))
     return _parsed(log, TASK_EVENTS, TASK_FIELDS).select(
         "app_id",
-        F.col("e")["Stage ID"].alias("stage_id"),
+        F.col("Stage ID").alias("stage_id"),
         "kind",
         _time(TASK_START, info["Launch Time"], info["Finish Time"]).alias("ts"),
         info["Index"].alias("task_index"),

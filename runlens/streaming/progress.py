@@ -34,7 +34,7 @@ from runlens.streaming.backoff import retrying
 TTL = timedelta(hours=24)
 _STATE = (
     "num_tasks: int, stage_name: string, started: bigint, done: bigint, stage_done: boolean, "
-    "last: bigint, seen: timestamp"
+    "last: bigint, seen: timestamp, done_ts: "
 )
 
 
@@ -53,6 +53,7 @@ def progress_updates(events: DataFrame) -> DataFrame:
         "started",
         "done",
         F.col("done_ts").isNotNull().alias("stage_done"),
+        "done_ts",
     )
 
 
@@ -71,13 +72,14 @@ def advance(
     may keep a frame that is read several times.
     """
     stages, tasks = split_events(batch)
+    time_type = batch.schema["ts"].dataType.simpleString()
     found = stages.groupBy(*STAGE_KEY).agg(
         first_submission().alias("first"),
         last_completion().alias("done_ts"),
         F.max(F.col("kind") == COMPLETED).alias("completed"),
     )
     if before is None:
-        merged = found.select("*", F.lit(None).cast(f"struct<{_STATE}>").alias("old"))
+        merged = found.select("*", F.lit(None).cast(f"struct<{_STATE}{time_type}>").alias("old"))
     else:
         fields = [c for c in before.columns if c not in STAGE_KEY]
         merged = found.join(
@@ -93,6 +95,7 @@ def advance(
         F.coalesce(old["stage_name"], F.col("first.stage_name")).alias("stage_name"),
         F.when(~known, F.col("first.ts")).alias("since"),
         (F.coalesce(old["stage_done"], F.lit(False)) | finished).alias("stage_done"),
+        F.greatest(old["done_ts"], F.when(finished, F.col("done_ts"))).alias("done_ts"),
         F.col("completed").isNotNull().alias("touched"),
     )
     merged = hold(merged)
@@ -108,6 +111,7 @@ def advance(
         (F.coalesce(old["started"], zero) + F.coalesce("more", zero)).alias("started"),
         (F.coalesce(old["done"], zero) + F.coalesce("ended", zero)).alias("done"),
         "stage_done",
+        "done_ts",
         F.when(touched, F.lit(batch_id)).otherwise(old["last"]).cast("bigint").alias("last"),
         F.when(touched, F.current_timestamp()).otherwise(old["seen"]).alias("seen"),
     )

@@ -3,7 +3,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from runlens.operators.progress import split_events, stage_progress
+from runlens.operators.progress import active, split_events, stage_progress, with_labels
 from runlens.sources.sinks import print_lines
 from runlens.streaming.backoff import with_backoff
 from runlens.streaming.lifecycle import POLL, Runner, run_available
@@ -37,8 +37,13 @@ def test_progress_over_many_batches_equals_the_batch_twin(spark, tmp_path):
     for i in range(0, len(EVENTS), 5):
         drop(spark, source, i, EVENTS[i : i + 5])
         run_available(write_updates(progress_updates(stream(spark, source)), out), checkpoint)
-    want = counters(stage_progress(*split_events(spark.createDataFrame(EVENTS, SCHEMA))))
-    assert counters(latest_progress(spark, out)) == want
+    batch = stage_progress(*split_events(spark.createDataFrame(EVENTS, SCHEMA)))
+    live = latest_progress(spark, out)
+    assert counters(live) == counters(batch)
+    # The live table serves the display like the batch one.
+    for second in (6, 7):
+        want = counters(active(batch, at(second)))
+        assert counters(active(with_labels(live), at(second))) == want
 
 
 def strict(spark, tmp_path, batches):
@@ -51,9 +56,11 @@ def strict(spark, tmp_path, batches):
 
 def test_strict_progress_in_one_batch_is_the_ordered_twin(spark, tmp_path):
     df = spark.createDataFrame(EVENTS, SCHEMA)
-    assert strict(spark, tmp_path, [EVENTS]) == counters(
-        stage_progress(*split_events(df), ordered=True)
-    )
+    batch = stage_progress(*split_events(df), ordered=True)
+    assert strict(spark, tmp_path, [EVENTS]) == counters(batch)
+    rows = latest_progress(spark, f"{tmp_path}/out/rows").collect()
+    times = {(r["app_id"], r["stage_id"]): r["done_ts"] for r in rows}
+    assert (times["b", 1], times["a", 9]) == (at(4), None)
 
 
 def test_strict_progress_drops_what_arrives_before_its_stage(spark, tmp_path):
