@@ -311,8 +311,8 @@ cell(
     FROM customer JOIN busy ON c_custkey = o_custkey
     WHERE n > (SELECT avg(n) FROM busy)
       AND EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'P')
-      AND c_custkey NOT IN (SELECT o_custkey FROM orders
-                            WHERE o_orderpriority = '1-URGENT' AND o_custkey IS NOT NULL)
+      AND NOT EXISTS (SELECT 1 FROM orders
+                      WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT')
     """,
 )
 

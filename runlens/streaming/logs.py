@@ -27,9 +27,13 @@ def line_messages(lines: DataFrame, home: str = "", size: int = BATCH_LINES) ->
 
 
 def open_messages(lines: DataFrame, home: str = "", prefix: Column | None = None) -> DataFrame:
-    """One message per file that announces it: ``(file, message)``."""
+    """One message per file that announces it, when its first line comes by.
+
+    ``lines`` are tailed lines or their batches; nothing has to be remembered.
+    """
     name = mask_home_prefix(F.col("file"), home) if home else F.col("file")
-    return lines.select("file").distinct().select("file", encode_open(name, prefix).alias("message"))
+    first = lines.filter(F.col("pos") == 0)
+    return first.select("file", encode_open(name, prefix).alias("message"))
 
 
 def ship(batches: DataFrame, path: str, **retry) -> DataStreamWriter:

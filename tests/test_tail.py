@@ -96,7 +96,8 @@ def test_stream_follows_appends_across_restarts(spark, tmp_path):
     assert run() == sorted(want)
 
 
-def test_open_messages(spark, tmp_path):
-    lines = spark.createDataFrame([("/home/u/a.log",), ("/home/u/a.log",), ("/x",)], "file string")
-    got = {r["message"] for r in open_messages(lines, "/home/u").collect()}
-    assert got == {'{"file_name":"~/a.log"}', '{"file_name":"/x"}'}
+def test_open_messages(spark):
+    rows = [("/home/u/a.log", 0), ("/home/u/a.log", 9), ("/x", 0)]
+    lines = spark.createDataFrame(rows, "file string, pos bigint")
+    got = [r["message"] for r in open_messages(lines, "/home/u").collect()]
+    assert sorted(got) == ['{"file_name":"/x"}', '{"file_name":"~/a.log"}']
