@@ -16,7 +16,6 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from runlens.operators.layout import cached
 from runlens.operators.progress import (
     COMPLETED,
     STAGE_KEY,
@@ -136,9 +135,9 @@ def write_strict_progress(
             return read.parquet(f"{path}/{name}")
 
         before = read.parquet(f"{path}/state/{(batch_id - 1) % 2}") if batch_id > 0 else None
-        with cached(batch) as held:
-            after = advance(before, held, batch_id, ttl, lambda df: rewrite(df, "known"))
-            after = rewrite(after, f"state/{batch_id % 2}")
+        # The batch is read again for stages and for tasks, each with the columns it needs.
+        after = advance(before, batch, batch_id, ttl, lambda df: rewrite(df, "known"))
+        after = rewrite(after, f"state/{batch_id % 2}")
         changed = after.filter(F.col("last") == batch_id).drop("last", "seen")
         rewrite(changed, f"rows/batch={batch_id}")
 
