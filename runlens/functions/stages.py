@@ -4,7 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+# The wording of labels.
 CALL_SITE_MARK = " at "
+FINISHED = "done"
+OF = "% of "
+ONE_TASK = " task"
+MANY_TASKS = " tasks"
+ON_GOING = " on-going"
+PLUS = " + "
+OUT_OF = " / "
 
 
 def _pct(part: Column, whole: Column) -> Column:
@@ -32,13 +40,13 @@ def text_label(
     running = started - done
     counts = F.concat(
         done_pct(done, num_tasks).cast("string"),
-        F.lit("% of "),
+        F.lit(OF),
         num_tasks.cast("string"),
-        F.when(num_tasks <= 1, F.lit(" task")).otherwise(F.lit(" tasks")),
-        F.when(running > 0, F.concat(F.lit(", "), running.cast("string"), F.lit(" on-going")))
+        F.when(num_tasks <= 1, F.lit(ONE_TASK)).otherwise(F.lit(MANY_TASKS)),
+        F.when(running > 0, F.concat(F.lit(", "), running.cast("string"), F.lit(ON_GOING)))
         .otherwise(F.lit("")),
     )
-    state = F.when(finished, F.lit("done")).otherwise(counts)
+    state = F.when(finished, F.lit(FINISHED)).otherwise(counts)
     return F.concat(name, F.lit(" ("), state, F.lit(")"))
 
 
@@ -46,9 +54,9 @@ def bar_label(num_tasks: Column, started: Column, done: Column) -> Column:
     """``D / N``, or ``D + K / N`` while K tasks are on-going."""
     running = started - done
     extra = F.when(running == 0, F.lit("")).otherwise(
-        F.concat(F.lit(" + "), running.cast("string"))
+        F.concat(F.lit(PLUS), running.cast("string"))
     )
-    return F.concat(done.cast("string"), extra, F.lit(" / "), num_tasks.cast("string"))
+    return F.concat(done.cast("string"), extra, F.lit(OUT_OF), num_tasks.cast("string"))
 
 
 def stage_action(name: Column, mark: str = CALL_SITE_MARK) -> Column:

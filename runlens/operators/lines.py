@@ -11,7 +11,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from runlens.functions.text import split_lines
 
-# A message holds a first line and up to ten more.
+# Fixed value: a message holds a first line and up to ten more.
 BATCH_LINES = 11
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from runlens.functions.cells import cell_text, html_header, html_row
 
+# Fixed value: rows shown by default.
 DEFAULT_LIMIT = 10
 
 

@@ -26,7 +26,7 @@ TASK_START = "task_start"
 TASK_END = "task_end"
 
 STAGE_KEY = ["app_id", "stage_id"]
-# How long a finished stage stays visible.
+# Fixed value: how long a finished stage stays visible.
 LINGER = timedelta(seconds=3)
 
 

@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 from runlens.operators.skew import row_hash
 from runlens.plans.staging import stage
 
+# Fixed value: the first dense id.
+FIRST_ID = 222223
+
 # monotonically_increasing_id keeps the row's place in the low 33 bits.
 _PLACE_BITS = 33
 
@@ -73,7 +76,7 @@ def with_position(
 
 
 def dense_ids(
-    df: DataFrame, order: Sequence[str] = (), first: int = 222223, name: str = "id"
+    df: DataFrame, order: Sequence[str] = (), first: int = FIRST_ID, name: str = "id"
 ) -> DataFrame:
     """Consecutive ids as text from ``first`` on, in the given order or in any."""
     numbered = with_position(df, [], order, "_position")

@@ -8,6 +8,13 @@ from runlens.functions.text import decode_field
 from runlens.operators.keyed import group_lists
 from runlens.operators.skew import is_small, lookup_join
 
+# The wording of answers.
+NOT_DECODED = "Error decoding message"
+CANCELLING = "Cancelling stage "
+STAGE = "Stage "
+NOT_FOUND = " not found"
+KNOWN = " (only have Vector({}))"
+
 # Up to this many known ids are spelled out in a "not found" message; beyond it the
 # message leaves them to known_ids, which lists them all.
 MAX_LISTED = 1000
@@ -28,7 +35,7 @@ def answer_requests(
     listed = F.lit("")
     if is_small(ids, MAX_LISTED):
         text = ", ".join(str(r[0]) for r in ids.orderBy(key).collect())
-        listed = F.lit(f" (only have Vector({text}))")
+        listed = F.lit(KNOWN.format(text))
     found = lookup_join(requests, ids.withColumn("_known", F.lit(True)), [key], "left")
     id_text = F.col(key).cast("string")
     outcome = (
@@ -37,9 +44,9 @@ def answer_requests(
         .otherwise("not found")
     )
     message = (
-        F.when(F.col(key).isNull(), "Error decoding message")
-        .when(F.col("_known"), F.concat(F.lit("Cancelling stage "), id_text))
-        .otherwise(F.concat(F.lit("Stage "), id_text, F.lit(" not found"), listed))
+        F.when(F.col(key).isNull(), NOT_DECODED)
+        .when(F.col("_known"), F.concat(F.lit(CANCELLING), id_text))
+        .otherwise(F.concat(F.lit(STAGE), id_text, F.lit(NOT_FOUND), listed))
     )
     return found.withColumns({"outcome": outcome, "message": message}).drop("_known")
 
