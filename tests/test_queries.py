@@ -4,10 +4,11 @@ import compare
 import pytest
 
 import __spark_entry__
+from runlens.plans import bindings
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = __spark_entry__.queries()
-ORACLES = __spark_entry__.oracle_sql()
+QUERIES = bindings.queries()
+ORACLES = bindings.oracles()
 
 
 @pytest.fixture(scope="module")
@@ -24,5 +25,9 @@ def test_query(spark, duck, name):
     assert compare.difference(QUERIES[name](spark, FOLDER), duck, ORACLES[name]) == ""
 
 
+def test_every_query_is_registered():
+    assert set(QUERIES) <= set(__spark_entry__.queries())
+
+
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() == 10
