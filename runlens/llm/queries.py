@@ -1,6 +1,6 @@
 """All queries of this subpackage."""
 
-from runlens.llm import quality
+from runlens.llm import packing, quality
 from runlens.llm.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "quality"]
+__all__ = ["ORACLES", "QUERIES", "packing", "quality"]
