@@ -1,6 +1,6 @@
 """All queries of this subpackage."""
 
-from runlens.llm import packing, quality, warc
+from runlens.llm import packing, quality, secrets, warc
 from runlens.llm.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "packing", "quality", "warc"]
+__all__ = ["ORACLES", "QUERIES", "packing", "quality", "secrets", "warc"]
