@@ -1,6 +1,6 @@
 """All queries of this subpackage."""
 
-from runlens.llm import packing, pii, quality, secrets, warc
+from runlens.llm import decontaminate, packing, pii, quality, secrets, warc
 from runlens.llm.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "packing", "pii", "quality", "secrets", "warc"]
+__all__ = ["ORACLES", "QUERIES", "decontaminate", "packing", "pii", "quality", "secrets", "warc"]
