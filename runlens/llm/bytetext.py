@@ -6,7 +6,7 @@ longest single text), not the batch.  Nulls count as empty texts throughout.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -102,19 +102,27 @@ class Words:
     end: np.ndarray
     hash: np.ndarray
     bounds: np.ndarray
+    hasher: Callable[[np.ndarray, np.ndarray], np.ndarray]
 
     @property
     def row(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
 
 
-def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte spans; equal bytes have equal hashes wherever they lie."""
+def span_hasher(data: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """A function from span starts and ends to 64-bit hashes of the bytes between.
+
+    Equal bytes have equal hashes wherever they lie.
+    """
     up, down = _powers_to(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTE_CODES[data] * up[: len(data)], out=sums[1:])
-    raw = (sums[end] - sums[start]) * down[start]
-    return mix(raw ^ (np.asarray(end - start).astype(np.uint64) << np.uint64(1)))
+
+    def hashes(start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        raw = (sums[end] - sums[start]) * down[start]
+        return mix(raw ^ ((end - start).astype(np.uint64) << np.uint64(1)))
+
+    return hashes
 
 
 def words(rows: Rows, letters: np.ndarray = SPACED, lower: bool = False) -> Words:
@@ -132,7 +140,8 @@ def words(rows: Rows, letters: np.ndarray = SPACED, lower: bool = False) -> Word
         after[edges - 1] = False
     start = np.flatnonzero(inside & ~before)
     end = np.flatnonzero(inside & ~after) + 1
-    return Words(start, end, span_hash(data, start, end), np.searchsorted(start, rows.offsets))
+    hasher = span_hasher(data)
+    return Words(start, end, hasher(start, end), np.searchsorted(start, rows.offsets), hasher)
 
 
 def shingles(found: Words, size: int) -> tuple[np.ndarray, np.ndarray]:

@@ -1,6 +1,6 @@
 """All queries of this subpackage."""
 
-from runlens.llm import decontaminate, neardup, packing, pii, quality, secrets, warc
+from runlens.llm import decontaminate, neardup, packing, pii, quality, secrets, toxicity, warc
 from runlens.llm.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "decontaminate", "neardup", "packing", "pii", "quality", "secrets", "warc"]
+__all__ = ["ORACLES", "QUERIES", "decontaminate", "neardup", "packing", "pii", "quality", "secrets", "toxicity", "warc"]
