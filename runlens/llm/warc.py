@@ -119,7 +119,7 @@ class Archive:
     def _start(self) -> None:
         dictionary = build_dictionary(self.held)
         system, path = fs.FileSystem.from_uri(self.path)
-        self.out = system.open_output_stream(path)
+        self.out = system.open_output_stream(path, compression=None)
         content = dictionary.as_bytes()
         self._put(struct.pack("<II", SKIPPABLE, len(content)) + content)
         self.compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=dictionary)
@@ -203,7 +203,7 @@ def write_archives(pages: DataFrame, folder: str, min_revisit_bytes: int = 0) ->
 def frames(path: str) -> Iterator[bytes]:
     """The records of an archive in turn, reading it piece by piece."""
     system, name = fs.FileSystem.from_uri(path)
-    with system.open_input_stream(name) as source:
+    with system.open_input_stream(name, compression=None) as source:
         magic, size = struct.unpack("<II", source.read(8))
         if magic != SKIPPABLE:
             raise ValueError(f"no dictionary frame at the start of {path}")
