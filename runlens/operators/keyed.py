@@ -136,7 +136,7 @@ def aggregate_by_key(
     ``buffer``); ``merge`` joins two buffers; ``finish`` gives the fields of
     ``result``.  Each task reduces its own rows first, so a hot key shuffles as about
     one buffer per task; sorted buffers are then merged one by one, and no group is
-    ever held in memory.  With no keys the result is one row, or none for no input.
+    ever held in memory.  With no keys the result is one row, also for no input.
     """
     keys, values = list(keys), list(values)
     key_type = T.StructType([df.schema[k] for k in keys])
@@ -195,8 +195,9 @@ def aggregate_by_key(
     if keys:
         parts = parts.repartition(*keys).sortWithinPartitions(*keys)
     else:
-        # One buffer per task at most.
-        parts = parts.repartition(1)
+        # One buffer per task at most, and the zero, which no merge notices.
+        start = df.sparkSession.createDataFrame([zero], partial_type)
+        parts = parts.unionByName(start).repartition(1)
     return parts.mapInArrow(finals, result_type)
 
 

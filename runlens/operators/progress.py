@@ -52,7 +52,8 @@ def known_stages(stages: DataFrame, ordered: bool = False) -> DataFrame:
     """One row per submitted stage; completions of unknown stages are dropped."""
     found = stages.groupBy(*STAGE_KEY).agg(
         first_submission().alias("first"),
-        last_completion().alias("done_ts"),
+        # A completion without a time counts from the stage's last event.
+        F.coalesce(last_completion(), F.max("ts")).alias("done_ts"),
         F.max(F.col("kind") == COMPLETED).alias("completed"),
     )
     completed = F.col("completed")

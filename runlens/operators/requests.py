@@ -2,22 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from runlens.functions.text import decode_field
 from runlens.operators.keyed import group_lists
-from runlens.operators.skew import is_small, lookup_join
+from runlens.operators.skew import lookup_join
 
 # The wording of answers.
 NOT_DECODED = "Error decoding message"
 CANCELLING = "Cancelling stage "
 STAGE = "Stage "
 NOT_FOUND = " not found"
-KNOWN = " (only have Vector({}))"
-
-# Up to this many known ids are spelled out in a "not found" message; beyond it the
-# message leaves them to known_ids, which lists them all.
-MAX_LISTED = 1000
 
 
 def decode_requests(
@@ -28,15 +25,18 @@ def decode_requests(
 
 
 def answer_requests(
-    requests: DataFrame, known: DataFrame, key: str = "stage_id"
+    requests: DataFrame,
+    known: DataFrame,
+    keys: Sequence[str] = ("app_id", "stage_id"),
+    key: str = "stage_id",
 ) -> DataFrame:
-    """Add ``outcome`` (``error``, ``cancel`` or ``not found``) and its message."""
-    ids = known.select(key).distinct()
-    listed = F.lit("")
-    if is_small(ids, MAX_LISTED):
-        text = ", ".join(str(r[0]) for r in ids.orderBy(key).collect())
-        listed = F.lit(KNOWN.format(text))
-    found = lookup_join(requests, ids.withColumn("_known", F.lit(True)), [key], "left")
+    """Add ``outcome`` (``error``, ``cancel`` or ``not found``) and its message.
+
+    A request is matched on all ``keys``, since stage ids are those of an application.
+    Answers never list the known ids, which :func:`known_ids` does.
+    """
+    ids = known.select(*keys).distinct()
+    found = lookup_join(requests, ids.withColumn("_known", F.lit(True)), keys, "left")
     id_text = F.col(key).cast("string")
     outcome = (
         F.when(F.col(key).isNull(), "error")
@@ -46,7 +46,7 @@ def answer_requests(
     message = (
         F.when(F.col(key).isNull(), NOT_DECODED)
         .when(F.col("_known"), F.concat(F.lit(CANCELLING), id_text))
-        .otherwise(F.concat(F.lit(STAGE), id_text, F.lit(NOT_FOUND), listed))
+        .otherwise(F.concat(F.lit(STAGE), id_text, F.lit(NOT_FOUND)))
     )
     return found.withColumns({"outcome": outcome, "message": message}).drop("_known")
 

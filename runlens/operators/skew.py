@@ -15,7 +15,8 @@ _TRACKED = 16_384
 
 
 def is_small(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
-    """Whether ``df`` stays within both bounds (one distributed count)."""
+    """Whether ``df`` stays within both bounds; counting stops soon after the bound."""
+    df = df.limit(max_rows + 1)
     width = sum(
         (F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns),
         F.lit(0),
@@ -52,16 +53,36 @@ def lookup_join(
     how: str = "inner",
     max_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Equi-join with a lookup table: broadcast if checked small, else salted.
+    """Equi-join with a lookup table: broadcast if checked small, else shuffled.
 
-    Beyond the broadcast bound only the hot keys of the big side are salted, and only
-    their lookup rows are repeated.  ``how`` is ``inner`` or ``left``.
+    Beyond the broadcast bound Spark's adaptive skew join splits the hot keys of the big
+    side, without a pass over it; where that is switched off, :func:`salted_join` does
+    it by hand.  ``how`` is ``inner`` or ``left``.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type {how!r}")
     if is_small(table, max_rows):
         return big.join(F.broadcast(table), list(on), how)
-    return salted_join(big, table, on, how)
+    return big.join(table, list(on), how)
+
+
+def same_types(a: DataFrame, b: DataFrame, on: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Both frames with their keys in one type, the one that a plain join compares in.
+
+    Text against another type is refused: whether it compares as text or as the other
+    type depends on the session.
+    """
+    for key in on:
+        kinds = {a.schema[key].dataType, b.schema[key].dataType}
+        if len(kinds) == 1:
+            continue
+        if any(isinstance(k, (T.StringType, T.BinaryType, T.BooleanType)) for k in kinds):
+            raise TypeError(f"keys {key!r} of types {sorted(map(str, kinds))} have no common type")
+        empty = a.select(f"`{key}`").limit(0).union(b.select(f"`{key}`").limit(0))
+        common = empty.schema[key].dataType
+        a = a.withColumn(key, F.col(f"`{key}`").cast(common))
+        b = b.withColumn(key, F.col(f"`{key}`").cast(common))
+    return a, b
 
 
 def row_hash(df: DataFrame) -> Column:
@@ -84,8 +105,13 @@ def row_hash(df: DataFrame) -> Column:
 def salted_join(
     big: DataFrame, table: DataFrame, on: Sequence[str], how: str = "inner", salts: int = SALTS
 ) -> DataFrame:
-    """Shuffled equi-join that spreads each hot key of ``big`` over ``salts`` tasks."""
+    """Shuffled equi-join that spreads each hot key of ``big`` over ``salts`` tasks.
+
+    Keys are compared in their common type, so equal keys have equal hashes.  Finding the
+    hot keys is a pass of its own over the keys of ``big``.
+    """
     on = list(on)
+    big, table = same_types(big, table, on)
     hot = F.xxhash64(*on).isin(hot_hashes(big, on))
     # Equal rows of different tasks are spread by their tasks' numbers.
     place = F.pmod(row_hash(big), F.lit(salts)) + F.spark_partition_id()

@@ -97,8 +97,9 @@ cell(
                CASE WHEN event_type = 'purchase' THEN event_id END AS bought
         FROM events WHERE event_type IN ('purchase', 'click')),
     near AS (
-        SELECT *, last_value(bought) IGNORE NULLS OVER (PARTITION BY user_id, hour
-            ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS in_hour
+        SELECT *, max(CASE WHEN bought IS NOT NULL THEN struct(ts, bought) END) OVER (
+            PARTITION BY user_id, hour ORDER BY ts
+            RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW).bought AS in_hour
         FROM tagged),
     hours AS (
         SELECT user_id, hour, max(struct(ts, bought)) FILTER (WHERE bought IS NOT NULL).bought
@@ -114,7 +115,8 @@ cell(
     """
     SELECT c.event_id AS click_id, coalesce(p.event_id, -1) AS purchase_id
     FROM (SELECT * FROM events WHERE event_type = 'click') c
-    ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'purchase') p
+    ASOF LEFT JOIN (SELECT user_id, ts, max(event_id) AS event_id FROM events
+                    WHERE event_type = 'purchase' GROUP BY user_id, ts) p
       ON c.user_id = p.user_id AND c.ts >= p.ts
     """,
 )

@@ -190,24 +190,31 @@ def event_log_progress(spark, folder):
 @query(
     "cancel_requests",
     """
-    WITH r AS (SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS stage_id
+    WITH r AS (SELECT event_id, 'app-' || (user_id % 8) AS app_id,
+                      CASE WHEN event_id % 50 <> 0
+                           THEN CAST(json_extract(props, '$.k') AS INTEGER) END AS stage_id
                FROM events),
-    k AS (SELECT string_agg(n_nationkey, ', ' ORDER BY n_nationkey) AS ids FROM nation)
-    SELECT event_id, stage_id,
-           CASE WHEN stage_id IS NULL THEN 'error' WHEN n_nationkey IS NULL THEN 'not found'
+    k AS (SELECT DISTINCT 'app-' || (o_orderkey % 8) AS app_id, o_orderkey AS known FROM orders)
+    SELECT event_id, r.app_id, stage_id,
+           CASE WHEN stage_id IS NULL THEN 'error' WHEN known IS NULL THEN 'not found'
                 ELSE 'cancel' END AS outcome,
            CASE WHEN stage_id IS NULL THEN 'Error decoding message'
-                WHEN n_nationkey IS NULL THEN
-                    'Stage ' || stage_id || ' not found (only have Vector(' || ids || '))'
+                WHEN known IS NULL THEN 'Stage ' || stage_id || ' not found'
                 ELSE 'Cancelling stage ' || stage_id END AS message
-    FROM r LEFT JOIN nation ON stage_id = n_nationkey, k
+    FROM r LEFT JOIN k ON stage_id = known AND r.app_id = k.app_id
     """,
 )
 def cancel_requests(spark, folder):
-    known = load(spark, folder, "nation").select(F.col("n_nationkey").alias("stage_id"))
-    requests = decode_requests(load(spark, folder, "events"), "props", "k")
-    answered = answer_requests(requests.select("event_id", "stage_id"), known)
-    return answered.select("event_id", "stage_id", "outcome", "message")
+    known = order_events(load(spark, folder, "orders")).select("app_id", "stage_id")
+    sent = load(spark, folder, "events").select(
+        "event_id",
+        F.concat(F.lit("app-"), (F.col("user_id") % 8).cast("string")).alias("app_id"),
+        F.when(F.col("event_id") % 50 == 0, "cancel it").otherwise(F.col("props")).alias("message"),
+    )
+    answered = answer_requests(decode_requests(sent, "message", "k").drop("message"), known)
+    return answered.select(
+        "event_id", "app_id", F.col("stage_id").cast("int"), "outcome", "message"
+    )
 
 
 @query(

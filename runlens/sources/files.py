@@ -42,10 +42,11 @@ def key_values(
     the columns that put the lines in sequence.
     """
     line = F.col(value)
-    pairs = lines.filter(~line.startswith("#") & line.rlike(r"\s")).select(
-        F.regexp_extract(line, r"^(\S*)\s+", 1).alias("key"),
-        F.regexp_extract(line, r"(?s)^\S*\s+(.*)", 1).alias("value"),
-        F.struct(*order).alias("_at"),
+    cut = lines.filter(~line.startswith("#")).select(
+        F.split(line, r"\s+", 2).alias("_cut"), F.struct(*order).alias("_at")
+    )
+    pairs = cut.filter(F.size("_cut") == 2).select(
+        F.col("_cut")[0].alias("key"), F.col("_cut")[1].alias("value"), "_at"
     )
     ignored = list(ignore)
     if ignored:

@@ -1,7 +1,11 @@
 """Streaming source over growing text files: every appended line arrives once.
 
-The stream offset holds one byte position per file, always just after a line end, so
-an unfinished last line waits for its end and a restart continues where it stopped.
+The stream offset holds, for each file, its identity, its path and a byte position just
+after a line end, so an unfinished last line waits for its end and a restart continues
+where it stopped.  A file is known by its identity: the hash of its first bytes and, on a
+local file system, its inode.  A renamed file therefore goes on where it was, and a path
+whose file was replaced, or cut shorter, starts anew.  A file that is missing from some
+listings keeps its place, for ``KEPT`` listings.
 Files must be on storage that every executor can read (any file system Arrow opens:
 local or mounted paths, ``hdfs://``, ``s3://`` …).  A path that does not exist yet is
 an empty file.
@@ -15,7 +19,9 @@ the line in the file), ``value`` (the line without its end).
 
 from __future__ import annotations
 
+import os
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,6 +35,11 @@ FORMAT = "runlens_tail"
 SCHEMA = "file STRING, range BIGINT, pos BIGINT, value STRING"
 SPLIT_BYTES = 64 << 20
 
+#: Listings for which the place of a missing file is kept.
+KEPT = 1000
+
+# First bytes of a file that tell it from others.
+_HEAD = 256
 _BLOCK = 1 << 20
 _ARROW = pa.schema(
     [("file", pa.string()), ("range", pa.int64()), ("pos", pa.int64()), ("value", pa.string())]
@@ -58,17 +69,31 @@ def _open_fs(path: str) -> tuple[fs.FileSystem, str]:
 
 
 def _files(paths: list[str]) -> Iterator[tuple[str, int]]:
-    """Path and size of every file, directories listed one level deep."""
+    """Path and size of every file; directories with all that lies below them."""
     for path in paths:
         system, inner = _open_fs(path)
         info = system.get_file_info(inner)
         if info.type == fs.FileType.File:
             yield path, info.size
         elif info.type == fs.FileType.Directory:
-            for child in system.get_file_info(fs.FileSelector(inner)):
-                hidden = child.base_name.startswith((".", "_"))
+            top = inner.rstrip("/")
+            for child in system.get_file_info(fs.FileSelector(inner, recursive=True)):
+                below = child.path[len(top) :].lstrip("/")
+                hidden = any(part.startswith((".", "_")) for part in below.split("/"))
                 if child.type == fs.FileType.File and not hidden:
-                    yield f"{path.rstrip('/')}/{child.base_name}", child.size
+                    yield f"{path.rstrip('/')}/{below}", child.size
+
+
+def _inode(path: str) -> int:
+    """Inode of a local file, 0 elsewhere."""
+    system, inner = _open_fs(path)
+    return os.stat(inner).st_ino if isinstance(system, fs.LocalFileSystem) else 0
+
+
+def _head_hash(path: str, size: int) -> int:
+    system, inner = _open_fs(path)
+    with system.open_input_file(inner) as f:
+        return zlib.crc32(f.read(size))
 
 
 def _after_last_newline(path: str, size: int) -> int:
@@ -91,28 +116,86 @@ class TailReader(DataSourceStreamReader):
             raise ValueError("the tail source needs a path")
         self.paths = [p.strip() for p in options["path"].split(",") if p.strip()]
         self.split = int(options.get("splitbytes", options.get("splitBytes", SPLIT_BYTES)))
-        self.seen: dict[str, tuple[int, int]] = {}
+        self.seen: dict[str, tuple[int, int, str, int]] = {}
+        self.missing: dict[str, tuple[list, int]] = {}
 
     def initialOffset(self) -> dict:
         return {}
 
     def latestOffset(self) -> dict:
-        offsets = {}
-        for path, size in _files(self.paths):
-            known = self.seen.get(path)
-            if known is None or known[0] != size:
-                self.seen[path] = (size, _after_last_newline(path, size))
-            offsets[path] = self.seen[path][1]
-        return offsets
+        """``{identity: [path, position]}`` of all files."""
+        offsets, now, used = {}, {}, set()
+        # Paths known from before come first, so that no other file takes their place.
+        for path, size in sorted(_files(self.paths), key=lambda f: (f[0] not in self.seen, f)):
+            try:
+                now[path] = self._look(path, size, used)
+            except FileNotFoundError:  # renamed or removed since it was listed
+                continue
+            _, stop, identity, _ = now[path]
+            used.add(identity)
+            if stop:
+                offsets[identity] = [path, stop]
+        gone = {i: (o, KEPT) for i, o in self._places().items()} | self.missing
+        self.missing = {i: (o, n - 1) for i, (o, n) in gone.items() if i not in offsets and n > 0}
+        self.seen = now
+        return offsets | {i: o for i, (o, _) in self.missing.items()}
+
+    def _places(self) -> dict[str, list]:
+        return {identity: [path, stop] for path, (_, stop, identity, _) in self.seen.items() if stop}
+
+    def _look(self, path: str, size: int, used: set[str]) -> tuple[int, int, str, int]:
+        """Size, position after the last line, identity, and inode of a file."""
+        inode = _inode(path)
+        known = self.seen.get(path)
+        if known is not None and known[0] == size and known[3] == inode:
+            return known
+        stop = _after_last_newline(path, size)
+        # The first line of a short file may still be growing, but not what ends in stop.
+        head = min(stop, _HEAD)
+        own = [known[2]] if known is not None and known[1] else []
+        for identity in (*own, *self._places(), *self.missing):
+            held, length, crc, _ = (int(x) for x in identity.split("-"))
+            if identity not in used and held == inode and length <= stop and _head_hash(path, length) == crc:
+                if self._position(identity) <= stop:
+                    return size, stop, identity, inode
+        return size, stop, self._new_identity(path, inode, head, used), inode
+
+    def _position(self, identity: str) -> int:
+        places = self._places()
+        return (places[identity] if identity in places else self.missing[identity][0])[1]
+
+    def _new_identity(self, path: str, inode: int, head: int, used: set[str]) -> str:
+        """Inode, length and hash of the first bytes, and how many such files came before."""
+        base, again = f"{inode}-{head}-{_head_hash(path, head)}", 0
+        taken = {*self._places(), *self.missing, *used}
+        while f"{base}-{again}" in taken:
+            again += 1
+        return f"{base}-{again}"
 
     def partitions(self, start: dict, end: dict) -> list[FileRange]:
         ranges = []
-        for path, stop in sorted(end.items()):
-            begin = start.get(path, 0)
+        for identity, (path, stop) in sorted(end.items(), key=lambda e: e[1]):
+            begin = self._begin(start, identity, path, stop)
             for at in range(begin, stop, self.split):
                 ranges.append(FileRange(path, begin, at, min(at + self.split, stop), stop))
         return ranges
 
+    def _begin(self, start: dict, identity: str, path: str, stop: int) -> int:
+        """Where the last micro-batch stopped in a file.
+
+        After a restart a file is named by more of its first bytes than before; it is the
+        file that had this inode and began the same.
+        """
+        if identity in start:
+            return start[identity][1]
+        inode, length, _, _ = (int(x) for x in identity.split("-"))
+        for other, (_, position) in start.items():
+            held, shorter, crc, _ = (int(x) for x in other.split("-"))
+            alike = held == inode and 0 < shorter <= length and position <= stop
+            if alike and _head_hash(path, shorter) == crc:
+                return position
+        return 0
+
     def read(self, partition: FileRange) -> Iterator[pa.RecordBatch]:
         for positions, lines in _lines(partition):
             n = len(lines)

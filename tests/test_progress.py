@@ -146,16 +146,23 @@ def test_requests(spark):
     ]
     df = spark.createDataFrame(list(enumerate(messages)), "i int, message string")
     known = spark.createDataFrame([(1,), (2,), (2,)], "stage_id int")
-    got = answer_requests(decode_requests(df, "message"), known).orderBy("i").collect()
+    got = answer_requests(decode_requests(df, "message"), known, ["stage_id"]).orderBy("i").collect()
     assert [r["outcome"] for r in got] == ["cancel", "not found", "cancel"] + ["error"] * 6
     assert [r["message"] for r in got[:4]] == [
         "Cancelling stage 1",
-        "Stage 5 not found (only have Vector(1, 2))",
+        "Stage 5 not found",
         "Cancelling stage 2",
         "Error decoding message",
     ]
 
 
+def test_requests_are_matched_in_their_application(spark):
+    asked = spark.createDataFrame([("A", 3), ("B", 3), ("A", None)], "app_id string, stage_id int")
+    known = spark.createDataFrame([("B", 3), ("A", 4)], "app_id string, stage_id bigint")
+    found = {(r["app_id"], r["stage_id"]): r["outcome"] for r in answer_requests(asked, known).collect()}
+    assert found == {("A", 3): "not found", ("B", 3): "cancel", ("A", None): "error"}
+
+
 def test_known_ids(events):
     stages, _ = split_events(events)
     rows = known_ids(stages, ["app_id"], run_rows=2).orderBy("app_id", "run").collect()

@@ -70,6 +70,29 @@ def test_salted_join_is_the_plain_join(spark, how):
     assert sorted(map(str, lookup_join(big, table, ["k"], how, max_rows=3).collect())) == want
 
 
+TYPES = ["smallint", "int", "bigint", "decimal(9,0)", "decimal(20,2)", "double"]
+
+
+@pytest.mark.parametrize("a,b", [(a, b) for a in TYPES for b in TYPES if a < b] + [("date", "timestamp")])
+def test_keys_of_different_types_join_like_a_plain_join(spark, a, b):
+    key = lambda n, kind: (
+        F.expr(f"cast(date_add(date'2024-01-01', cast({n} AS int)) AS {kind})")
+        if kind in ("date", "timestamp")
+        else F.expr(f"cast({n} AS {kind})")
+    )
+    big = spark.range(400).select(key("if(id < 300, 5, id % 20)", a).alias("k"), "id")
+    table = spark.range(12).select(key("id", b).alias("k"), F.col("id").alias("w"))
+    for how in ("inner", "left"):
+        want = sorted((r["id"], r["w"] or -1) for r in big.join(table, "k", how).collect())
+        got = salted_join(big, table, ["k"], how, salts=4).collect()
+        assert sorted((r["id"], r["w"] or -1) for r in got) == want
+
+
+def test_text_keys_need_text_keys(spark):
+    with pytest.raises(TypeError):
+        salted_join(spark.range(3), spark.range(3).selectExpr("string(id) AS id"), ["id"])
+
+
 def test_other_joins_are_refused(spark):
     with pytest.raises(ValueError):
         lookup_join(skewed(spark), skewed(spark), ["k"], "full")

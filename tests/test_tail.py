@@ -32,7 +32,7 @@ def test_splits_give_each_line_once(tmp_path, split):
     for r in rows:
         assert data[r["pos"] : r["pos"] + len(r["value"])].decode() == r["value"]
     # A later part that starts in the middle of the file.
-    middle = {str(file): rows[100]["pos"]}
+    middle = {identity: [str(file), rows[100]["pos"]] for identity in end}
     assert [r["value"] for r in read_all(reader, middle, end)] == lines[100:]
 
 
@@ -51,13 +51,50 @@ def test_missing_empty_and_unfinished_files(tmp_path):
     empty.write_text("")
     open_ended.write_text("no end")
     reader = TailReader({"path": f"{missing},{empty},{open_ended}"})
-    assert reader.latestOffset() == {str(empty): 0, str(open_ended): 0}
+    assert reader.latestOffset() == {}
     open_ended.write_text("no end, now\n")
-    assert reader.latestOffset()[str(open_ended)] == 12
+    assert list(reader.latestOffset().values()) == [[str(open_ended), 12]]
     with pytest.raises(ValueError):
         TailReader({})
 
 
+@pytest.mark.parametrize("restart", [False, True])
+def test_rotated_truncated_and_returning_files(tmp_path, restart):
+    logs = tmp_path / "logs"
+    (logs / "deep" / "er").mkdir(parents=True)
+    reader, at = TailReader({"path": str(logs)}), {}
+
+    def new():
+        nonlocal reader, at
+        if restart:
+            reader = TailReader({"path": str(logs)})
+        end = reader.latestOffset()
+        rows, at = read_all(reader, at, end), end
+        return sorted(r["value"] for r in rows)
+
+    file = logs / "a.log"
+    file.write_text("".join(f"line {i}\n" for i in range(20)))
+    (logs / "deep" / "er" / "b.log").write_text("deep\n")
+    (logs / "deep" / "_hidden").write_text("no\n")
+    assert len(new()) == 21 and new() == []
+    with open(file, "a") as f:
+        f.write("more\n" * 50)
+    assert new() == ["more"] * 50
+    file.rename(logs / "a.log.1")
+    file.write_text("fresh\n")
+    assert new() == ["fresh"] and new() == []
+    with open(file, "a") as f:
+        f.write("fresher\n")
+    assert new() == ["fresher"]
+    (logs / "a.log.1").write_text("cut\n")
+    assert new() == ["cut"] and new() == []
+    if not restart:
+        (logs / "a.log.1").rename(tmp_path / "away")
+        assert new() == []
+        (tmp_path / "away").rename(logs / "a.log.1")
+        assert new() == []
+
+
 def test_a_range_stops_at_its_limit(tmp_path):
     file = tmp_path / "a"
     file.write_text("one\ntwo\nthree\n")
