@@ -7,17 +7,23 @@ back, so that lost executors cannot change it.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
-_local_root: str | None = None
+_local_root: tempfile.TemporaryDirectory | None = None
+_written: list[str] = []
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a temporary folder on a local master only."""
+    """The shared folder of the cluster.
+
+    Where the setting is missing on a local master, as in tests, a temporary folder takes
+    its place and is removed at the end of the process.
+    """
     global _local_root
     root = spark.conf.get(SETTING, None)
     if root:
@@ -25,13 +31,23 @@ def shared_root(spark: SparkSession) -> str:
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError(f"set {SETTING} to a folder that every executor can reach")
     if _local_root is None:
-        _local_root = tempfile.mkdtemp(prefix="runlens-")
-    return _local_root
+        _local_root = tempfile.TemporaryDirectory(prefix="runlens-")
+        atexit.register(_local_root.cleanup)
+    return _local_root.name
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """Path of a folder under the shared root that nothing else uses."""
-    return f"{shared_root(spark)}/runlens/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/runlens/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Remove the folders this process has written; no frame that reads them works then."""
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

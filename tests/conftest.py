@@ -10,6 +10,9 @@ for folder in (ROOT, ROOT / "tests"):
     sys.path.insert(0, str(folder))
 
 
+from runlens.plans import staging  # noqa: E402
+
+
 @pytest.fixture(scope="session")
 def event_log_dir():
     return tempfile.mkdtemp(prefix="runlens-events-")
@@ -32,4 +35,8 @@ def spark(event_log_dir):
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    staging.release(session)
+    root = Path(staging.shared_root(session)) / "runlens"
+    left = list(root.iterdir()) if root.exists() else []
     session.stop()
+    assert left == [], "staged tables were left behind"
