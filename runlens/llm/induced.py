@@ -18,7 +18,7 @@ import numpy as np
 from runlens.llm.bytetext import span_hasher
 
 #: Bytes of queued suffixes held in memory before queues go to disk.
-QUEUE_BYTES = 64 << 20
+QUEUE_BYTES = 4 << 20
 
 
 class BucketQueues:

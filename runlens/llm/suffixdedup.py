@@ -39,9 +39,9 @@ from runlens.llm.shared import load, new_folder
 LENGTH = 100
 CORE = 32
 #: Contexts of one run that are still sorted in a shard.
-HOT = 20_000
+HOT = 5000
 #: Bytes of contexts in a shard, but for a last run that goes beyond it.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 1 << 20
 #: A byte that no UTF-8 text holds.
 _MARK = 0xFF
 
@@ -100,7 +100,7 @@ def _anchor_maker(length: int, core: int):
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             parts = []
-            for rows in chunks(batch.column(1)):
+            for rows in chunks(batch.column(1), 1 << 20):
                 row, place, run, around = anchors(rows, length, core)
                 size = np.diff(rows.offsets)[row]
                 parts.append((run, around, ids[rows.first + row], place, size))
