@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from runlens.llm.decontaminate import without_leaks
 from runlens.llm.neardup import first_of_class
 from runlens.llm.packing import pack
-from runlens.llm.quality import apply_policy, rule_ledger
+from runlens.llm.quality import passing
 from runlens.llm.secrets import redact_secrets
 from runlens.llm.shared import load, new_folder
 
@@ -23,8 +23,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass every rule of the current policy."""
-    rows = docs.select(F.struct("*").alias("_row"), F.col("text"))
-    return apply_policy(rule_ledger(rows)).filter("kept").select("_row.*")
+    return passing(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -119,12 +119,17 @@ def measure(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def rule_ledger(df: DataFrame, text: str = "text") -> DataFrame:
-    """Measurements of every row and ``failed_mask``, one bit per failed rule."""
+    """Measurements of every row and ``failed_mask``, one bit per failed rule.
+
+    Rows leave through an array that is unpacked again: a filter on the ledger would
+    otherwise be moved below the measurements, computing each many times over.
+    """
     kept = df.drop("failed_mask") if text != "failed_mask" else df
     mask = F.lit(0)
     for bit, failed in enumerate(rules().values()):
         mask = mask.bitwiseOR(F.when(failed, F.lit(1 << bit)).otherwise(F.lit(0)))
-    return measure(kept, text).withColumn("failed_mask", mask.cast("long"))
+    ledger = measure(kept, text).withColumn("failed_mask", mask.cast("long"))
+    return ledger.select(F.explode(F.array(F.struct("*"))).alias("_m_row")).select("_m_row.*")
 
 
 def fails(policy: str) -> Column:
@@ -136,6 +141,12 @@ def apply_policy(ledger: DataFrame, policy: str = CURRENT) -> DataFrame:
     return ledger.withColumn("kept", ~fails(policy))
 
 
+def passing(df: DataFrame, policy: str = CURRENT, text: str = "text") -> DataFrame:
+    """The rows that pass every rule of the policy, columns as they are."""
+    rows = df.select(F.struct("*").alias("_row"), F.col(f"`{text}`"))
+    return apply_policy(rule_ledger(rows, text), policy).filter("kept").select("_row.*")
+
+
 def ablations(ledger: DataFrame, policy: str = CURRENT) -> DataFrame:
     """For each rule of a policy: rows it fails, rows only it fails, rows kept without it.
 

@@ -4,7 +4,7 @@ from collections import Counter
 import cases
 import compare
 
-from runlens.llm.quality import POLICIES, ablations, apply_policy, rule_ledger
+from runlens.llm.quality import POLICIES, ablations, apply_policy, passing, rule_ledger
 from runlens.llm.queries import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -68,3 +68,11 @@ def test_empty_table(spark):
     ledger = rule_ledger(cases.frame(spark, []))
     assert apply_policy(ledger).count() == 0
     assert {r["failed"] for r in ablations(ledger).collect()} == {0}
+
+
+def test_passing_rows_keep_their_columns_and_order_of_work(spark):
+    docs = cases.frame(spark, extra=True)
+    kept = passing(docs)
+    assert kept.schema.names == docs.schema.names
+    want = [r["doc_id"] for r in apply_policy(rule_ledger(cases.frame(spark))).filter("kept").collect()]
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(want)
