@@ -108,9 +108,13 @@ def leaks(text: str, spans: list[Span]) -> list[Span]:
 
 
 def scan_secrets(
-    df: DataFrame, vocabulary: str, text_col: str = "text", leaks_only: bool = False
+    df: DataFrame,
+    vocabulary: str,
+    text_col: str = "text",
+    leaks_only: bool = False,
+    column: str = "spans",
 ) -> DataFrame:
-    """Add the column ``spans``; ``vocabulary`` is a file of ranks."""
+    """Add the column of spans; ``vocabulary`` is a file of ranks."""
 
     def maker():
         def test(texts: pa.Array) -> pa.Array:
@@ -122,15 +126,15 @@ def scan_secrets(
 
         return test, find
 
-    return add_spans(df, text_col, maker)
+    return add_spans(df, text_col, maker, column)
 
 
 def redact_secrets(
     df: DataFrame, vocabulary: str, text_col: str = "text", mark: str = "[SECRET]"
 ) -> DataFrame:
     """The same rows and columns with every secret in the text replaced by ``mark``."""
-    found = scan_secrets(df, vocabulary, text_col, leaks_only=True)
-    return found.withColumn(text_col, without(text_col, mark)).select(
+    found = scan_secrets(df, vocabulary, text_col, leaks_only=True, column="_secret_spans")
+    return found.withColumn(text_col, without(text_col, mark, "_secret_spans")).select(
         *(f"`{c}`" for c in df.columns)
     )
 
