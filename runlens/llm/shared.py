@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+_made: list[str] = []
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -29,7 +30,16 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_root(spark)}/runlens-llm/{name}-{uuid.uuid4().hex}"
+    """Path of a folder in the shared one that nothing else uses."""
+    path = f"{shared_root(spark)}/runlens-llm/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Remove this process's folders, once no frame that reads them is needed."""
+    while _made:
+        drop(spark, _made.pop())
 
 
 def drop(spark: SparkSession, path: str) -> None:
@@ -38,12 +48,5 @@ def drop(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and return the written table."""
-    path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
