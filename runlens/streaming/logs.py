@@ -36,14 +36,14 @@ def open_messages(lines: DataFrame, home: str = "", prefix: Column | None = None
     return first.select("file", encode_open(name, prefix).alias("message"))
 
 
-def ship(batches: DataFrame, path: str, **retry) -> DataStreamWriter:
-    """Write each micro-batch of messages under ``path/batch=<id>``.
+def ship(batches: DataFrame, path: str, home: str = "", **retry) -> DataStreamWriter:
+    """Write each micro-batch of messages under ``path/batch=<id>/file=<file>``.
 
-    A repeated micro-batch replaces its folder, so every message is there once.
+    A file is announced by an open message before its first lines.  A repeated micro-batch replaces its folder, so every message is there once.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_messages(batch, f"{path}/batch={batch_id}")
+        write_messages(batch, f"{path}/batch={batch_id}", home=home)
 
     return batches.writeStream.foreachBatch(retrying(write, **retry))
 
@@ -54,6 +54,7 @@ def ship_with(batches: DataFrame, write: Callable, **retry) -> DataStreamWriter:
 
 
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
-    """Shipped messages, decoded: ``(batch, data)``."""
+    """Shipped lines, decoded: ``(batch, file, data)``, without the open messages."""
     decoded = F.from_json("value", "data ARRAY<STRING>")["data"]
-    return spark.read.text(path).select("batch", decoded.alias("data"))
+    found = spark.read.text(path).select("batch", "file", decoded.alias("data"))
+    return found.filter(F.col("data").isNotNull())

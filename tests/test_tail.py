@@ -131,6 +131,9 @@ def test_stream_follows_appends_across_restarts(spark, tmp_path):
     want += ["partial", "last", "c0"]
     assert run() == sorted(want)
     assert run() == sorted(want)
+    written = spark.read.text(out).filter("file LIKE '%/a.log'").collect()
+    opened = [r["batch"] for r in written if "file_name" in r["value"]]
+    assert opened == [0] and len(written) > 3
 
 
 def test_open_messages(spark):
