@@ -66,6 +66,14 @@ def test_redaction_keeps_rows_and_columns(spark):
     assert "0" * 64 in texts[42] and "deadbeef0123456789" not in texts[42]
 
 
+def test_redaction_takes_hex_of_any_length(spark):
+    keys = ["9f86d081884c7d659a2feaa0c55ad015", "a3" + "0123456789abcdef" * 3 + "fedcba98765432", "7305918264307591", "abcdefabcdefabcd", "deadbeef01deadbeef01"]
+    rows = [(60 + i, f"the key is {k} indeed", None, None) for i, k in enumerate(keys)]
+    assert sorted(map(len, keys)) == [16, 16, 20, 32, 64]
+    texts = [r["text"] for r in redact_secrets(cases.frame(spark, rows), PATH).collect()]
+    assert texts == ["the key is [SECRET] indeed"] * len(keys)
+
+
 def test_overlapping_spans_are_removed_together(spark):
     spans = [("a", 2, 5, True), ("b", 3, 8, True), ("a", 8, 9, True), ("c", 3, 4, False)]
     df = spark.createDataFrame([(1, "0123456789é")], "doc_id long, text string")
