@@ -1,8 +1,10 @@
 """Secrets in texts: fixed patterns, and strings that a tokenizer cannot shorten.
 
 A vocabulary trained on text spends few tokens on words and many on random strings, so a
-long string with few characters per token is likely a key.  Strings that are known
-digests (by their length), UUIDs, numbers and identifiers made of words are left out.
+long string with few characters per token is likely a key.  A candidate is judged whole
+and, if it is not taken whole, by its pieces between separators.  Digests (known by their
+length), UUIDs, numbers, repetitions of a short string and names whose every piece the
+vocabulary encodes in few tokens are left out; all else the characters per token decide.
 
 Null and empty texts have no spans; repeated rows are scanned alike; other columns pass
 through; a column that is already called ``spans`` is replaced; an empty table stays so.
@@ -36,8 +38,9 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_CHARS)
 UUID = re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
-WORDS = re.compile(r"([A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4})([_/=+-]([A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4}))*")
-CAMEL = re.compile(r"([A-Z]?[a-z]{2,}[0-9]{0,4})+")
+SEPARATOR = re.compile(r"[_/=+-]+")
+PIECE = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
+REPEATED = re.compile(r"(.{1,%d}?)\1+" % (MIN_CHARS - 1))
 
 # Hex digits of MD5, SHA-1, SHA-224, SHA-256, SHA-384 and SHA-512 (fixed values).
 DIGESTS = {32, 40, 56, 64, 96, 128}
@@ -49,16 +52,36 @@ HINT = (
 )
 
 
-def known(candidate: str) -> bool:
-    """Whether a string is a digest, a UUID, a number or an identifier made of words."""
-    hexes = re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", candidate) is not None
+def digest(text: str) -> bool:
+    """Whether a string has the digits and the length of a known digest."""
+    return len(text) in DIGESTS and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", text) is not None
+
+
+def named(candidate: str, vocabulary) -> bool:
+    """Whether every piece is a word of few tokens, a short number or a digest.
+
+    One or two letters are a word only between separators: random strings are full of them.
+    """
+
+    def word(piece: str, part: str) -> bool:
+        if len(piece) <= (4 if piece.isdigit() else 2 * (piece == part)):
+            return True
+        return len(piece) >= MAX_CHARS_PER_TOKEN * len(vocabulary.encode_ordinary(piece))
+
+    return all(
+        digest(part) or all(word(piece, part) for piece in PIECE.findall(part))
+        for part in SEPARATOR.split(candidate)
+    )
+
+
+def unlikely(candidate: str, vocabulary) -> bool:
+    """Whether a string has few characters per token and no known reason for it."""
     return (
-        (hexes and len(candidate) in DIGESTS)
-        or not any(c.isdigit() for c in candidate)
-        or not any(c.isalpha() for c in candidate)
-        or UUID.fullmatch(candidate) is not None
-        or WORDS.fullmatch(candidate) is not None
-        or CAMEL.fullmatch(candidate) is not None
+        any(c.isalpha() for c in candidate)
+        and UUID.fullmatch(candidate) is None
+        and REPEATED.fullmatch(candidate) is None
+        and len(candidate) < MAX_CHARS_PER_TOKEN * len(vocabulary.encode_ordinary(candidate))
+        and not named(candidate, vocabulary)
     )
 
 
@@ -95,13 +118,21 @@ def secret_spans(text: str, vocabulary) -> list[Span]:
     spans += [("hex", m.start(), m.end(), True) for m in HEX.finditer(text)]
     free = apart(spans)
     for m in CANDIDATE.finditer(text):
-        if known(m[0]) or not free(m.start(), m.end()):
-            continue
-        if len(m[0]) < MAX_CHARS_PER_TOKEN * len(vocabulary.encode_ordinary(m[0])):
-            spans.append(("token", m.start(), m.end(), False))
+        places = [(m.start(), m.end())]
+        if not (free(*places[0]) and unlikely(m[0], vocabulary)):
+            places = [p for p in parts(text, m.start(), m.end()) if free(*p)]
+            places = [(s, e) for s, e in places if unlikely(text[s:e], vocabulary)]
+        spans += [("token", s, e, False) for s, e in places]
     return spans
 
 
+def parts(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """Places of the pieces between separators that are long enough for a candidate."""
+    cuts = [(start, start), *(m.span() for m in SEPARATOR.finditer(text, start, end)), (end, end)]
+    found = [(a, b) for (_, a), (b, _) in zip(cuts, cuts[1:]) if b - a >= MIN_CHARS]
+    return [] if found == [(start, end)] else found
+
+
 def leaks(text: str, spans: list[Span]) -> list[Span]:
     """The spans to take out: all, but for hex that is one character over and over."""
     return [s for s in spans if s[0] != "hex" or len(set(text[s[1] : s[2]])) > 1]

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import string
 
 import cases
 import numpy as np
@@ -55,6 +56,24 @@ def test_random_strings_are_added_and_known_ones_left(spark):
     assert added[42] == []
 
 
+@pytest.mark.parametrize("alphabet", [string.ascii_lowercase + string.digits, string.ascii_letters, string.ascii_letters + string.digits + "-_"])
+def test_random_strings_of_any_alphabet_are_added(alphabet):
+    rng, vocabulary = random.Random(5), encoding(PATH)
+    for size in (16, 24, 40):
+        keys = ["".join(rng.choice(alphabet) for _ in range(size)) for _ in range(300)]
+        assert sum(any(k == "token" for k, *_ in secret_spans(f"the key {s} is", vocabulary)) for s in keys) >= 295
+
+
+def test_pieces_are_judged_and_names_are_left():
+    def added(text):
+        return [text[s:e] for k, s, e, _ in secret_spans(text, encoding(PATH)) if k == "token"]
+
+    path = "services/production/configuration/internationalization/documentation"
+    assert added(f"{path}/{RANDOM_KEY}") in ([RANDOM_KEY], [f"{path}/{RANDOM_KEY}"])
+    assert added(f"deadbeef0123456789/{RANDOM_KEY}") == [RANDOM_KEY]
+    assert added(f"{path} {'DA39A3EE5E6B4B0D3255BFEF95601890AFD80709'} {'-=' * 40} {'xQ' * 30}") == []
+
+
 def test_redaction_keeps_rows_and_columns(spark):
     docs = cases.frame(spark, [*cases.ROWS, *SECRETS], extra=True)
     clean = redact_secrets(docs, PATH)
