@@ -54,9 +54,11 @@ GENERATORS = (
 
 COUNTRY = re.compile(r"^[0-9]{1,3}[ .-]+")
 
-#: Any text with a span or a proposal matches this.
+#: Any text with a span or a proposal matches this: the first steps of the e-mail generator,
+#: four digits as near as in any other generator or pattern, and ``PHONE``.
 HINT = (
-    r"@|\(at\)|\[at\]| at [A-Za-z0-9-]+ dot |[0-9](?:[ ()./-]{0,2}[0-9]){3}"
+    r"[A-Za-z0-9._%+-] ?(?:@|\(at\)|\[at\]| at ) ?[A-Za-z0-9-]+ ?(?:\.|\(dot\)|\[dot\]| dot ) ?[A-Za-z0-9-]"
+    r"|[0-9](?:[ ()./-]{0,2}[0-9]){3}"
     r"|\+[0-9][ ().0-9-]+[0-9]"
 )
 

@@ -8,10 +8,11 @@ import string
 import cases
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from runlens.llm import boosting
-from runlens.llm.pii import KINDS as PII_KINDS, base_spans, fit_model, pii_spans, scan_pii
+from runlens.llm.pii import KINDS as PII_KINDS, _hinted, base_spans, fit_model, pii_spans, proposals, scan_pii
 from runlens.llm.secrets import KINDS, encoding, redact_secrets, scan_secrets, secret_spans
 from runlens.llm.spans import add_spans, joined
 
@@ -132,6 +133,19 @@ PII = [
 ]
 
 
+def test_every_proposal_and_base_span_is_hinted():
+    ats, dots = ("@", "(at)", "[at]", " at ", " (at) ", " [at] ", "  at  "), (".", "(dot)", "[dot]", " dot ", " . ", " (dot) ", "  dot  ")
+    texts = [f"jane.doe{a}mail{d}example{e}com" for a in ats for d in dots for e in dots]
+    texts += [f"jane.doe{a}example{d}com" for a in ats for d in dots]
+    rng = random.Random(6)
+    texts += ["".join(rng.choice("0123456789+  ().-/") for _ in range(30)) for _ in range(20_000)]
+    texts += ["1.2.3.4", "0001.0002.0003.0004", "4111 1111 1111 1111", "+1  -  2  -  3  (4)  5  6  7  8"]
+    flags = _hinted(pa.array(texts)).to_pylist()
+    spans = [bool(proposals(t) or base_spans(t)) for t in texts]
+    assert sum(spans) > 10_000 and all(spans[:392])
+    assert [t for t, f, s in zip(texts, flags, spans) if s and not f] == []
+
+
 def people(n):
     rng = random.Random(4)
     num = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
