@@ -4,19 +4,20 @@ Generous generators propose spans that overlap.  Trees see a candidate's format
 words around it, but neither what proposed it nor the checks by which fixed patterns pass
 or fail (check digits, a leading plus), so what they learn carries over to candidates that
 no fixed pattern takes: a phone number without its plus, an address spelled out.
-They are fitted on a bounded sample of candidates (``SAMPLE``, chosen by hash): those that
-fixed patterns found are the positives, the other number groups the negatives.  For each
-kind a threshold is set on held-out candidates by the share that fixed patterns confirm.
+They are fitted on a bounded sample of candidates (``SAMPLE``, the same for each kind,
+chosen by hash, equal texts once): those that fixed patterns found are the positives, the
+other number groups the negatives.  For each kind a threshold is set by the share that fixed
+patterns confirm among all candidates of all texts, counted by bins of their score.
 
 Null and empty texts have no spans; repeated rows are scanned alike; other columns pass
 through; a column that is already called ``spans`` is replaced; an empty table stays so,
-and a sample without both labels gives the base spans only.
+and a sample without both labels or of fewer than ``LEAST`` gives the base spans only.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from runlens.llm import boosting
 from runlens.llm.registry import query
-from runlens.llm.shared import load
+from runlens.llm.shared import drop, load, new_folder
 from runlens.llm.spans import Span, add_spans, apart, count_of, joined
 
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -37,8 +38,12 @@ KINDS = (*BASE_KINDS, "more_email", "more_ip", "more_card", "more_phone")
 #: threshold that fixed patterns confirm.  Some of the others are right all the same: the
 #: patterns miss them, which is why they are looked for.
 SAMPLE = 20_000
+LEAST = 50
 PRECISION = 0.85
 
+#: Lower ends of the score bins that thresholds are set on: logits from -30 to 30.
+EDGES = 1 / (1 + np.exp(-np.linspace(-30, 30, 3001)))
+
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
@@ -167,45 +172,112 @@ def _hinted(texts: pa.Array) -> pa.Array:
     return pc.match_substring_regex(texts, HINT).fill_null(False)
 
 
-def fit_model(df: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Model | None:
-    """Fit on ``sample`` candidates of all texts; None without both labels.
+def _keys(text: str, n: int) -> list[int]:
+    """Sampling keys of a text's candidates by their place, the same for equal texts."""
+    whole = hashlib.blake2b(text.encode(), digest_size=16)
+    keys = []
+    for i in range(n):
+        own = whole.copy()
+        own.update(b":%d" % i)
+        keys.append(int.from_bytes(own.digest()[:8], "big") >> 1)
+    return keys
+
 
-    The sample is the candidates with the smallest hashes of text and place, so it does not
-    depend on how rows are spread; only its numbers reach the driver.
+def _sample(df: DataFrame, share: int) -> list:
+    """For each kind the ``share`` candidates with the smallest keys, equal texts once.
+
+    Each task hands on at most so many of each kind, so does Spark to the driver.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[str, dict[int, tuple]] = {kind: {} for kind in GENERATOR_PLACE}
+        for batch in batches:
+            for text in batch.column(0).filter(_hinted(batch.column(0))).to_pylist():
+                found = list(examples(text))
+                for key, (kind, numbers, label) in zip(_keys(text, len(found)), found):
+                    kept[kind][key] = (GENERATOR_PLACE[kind], numbers, label, key)
+                for kind, own in kept.items():
+                    if len(own) > 2 * share:
+                        kept[kind] = {k: own[k] for k in sorted(own)[:share]}
+        rows = [own[k] for own in kept.values() for k in sorted(own)[:share]]
+        columns = list(zip(*rows)) if rows else [()] * 4
+        types = [pa.float64(), pa.list_(pa.float64()), pa.bool_(), pa.int64()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(columns, types)],
+            names=["place", "features", "label", "key"],
+        )
+
+    schema = "place double, features array<double>, label boolean, key long"
+    spark = df.sparkSession
+    folder = new_folder(spark, "pii-sample")
+    df.mapInArrow(run, schema).write.parquet(folder)
+    found = spark.read.schema(schema).parquet(folder)
+    rows = []
+    for place in GENERATOR_PLACE.values():
+        own = found.filter(F.col("place") == place).distinct()
+        rows += own.orderBy("key", "features", "label").limit(share).collect()
+    drop(spark, folder)
+    return rows
+
+
+def _limits(df: DataFrame, trees: boosting.Boosted) -> dict[str, float]:
+    """The threshold of each kind, from the scores of all candidates of all texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((len(GENERATORS), len(EDGES), 2), np.int64)
         for batch in batches:
             texts = batch.column(0).filter(_hinted(batch.column(0))).to_pylist()
-            rows = [
-                (*e, f"{n}:{zlib.crc32(t.encode())}") for t in texts for n, e in enumerate(examples(t))
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([GENERATOR_PLACE[k] for k, *_ in rows], pa.float64()),
-                    pa.array([f for _, f, *_ in rows], pa.list_(pa.float64())),
-                    pa.array([y for _, _, y, _ in rows], pa.bool_()),
-                    pa.array([k for *_, k in rows], pa.string()),
-                ],
-                names=["place", "features", "label", "key"],
-            )
-
-    schema = "place double, features array<double>, label boolean, key string"
-    found = df.select(F.col(f"`{text_col}`").cast("string").alias("text")).mapInArrow(run, schema)
-    order = found.orderBy(F.xxhash64("key"), "key", "place", "features", "label")
-    rows = order.limit(sample).select("place", "features", "label").collect()
-    if len({r["label"] for r in rows}) < 2 or len(rows) < 50:
+            found = [e for t in texts for e in examples(t)]
+            if not found:
+                continue
+            x = np.array([[GENERATOR_PLACE[k], *f] for k, f, _ in found])
+            label = np.array([y for *_, y in found], np.int64)
+            np.add.at(counts, (x[:, 0].astype(np.int64), _bins(trees.probability(x)), label), 1)
+        place, score = np.nonzero(counts.sum(axis=2))
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(place, pa.int64()),
+                pa.array(score, pa.int64()),
+                pa.array(counts[place, score, 1], pa.int64()),
+                pa.array(counts[place, score].sum(axis=1), pa.int64()),
+            ],
+            names=["place", "score", "right", "n"],
+        )
+
+    found = df.mapInArrow(run, "place long, score long, right long, n long")
+    sums = found.groupBy("place", "score").agg(F.sum("right").alias("right"), F.sum("n").alias("n"))
+    right, n = np.zeros((2, len(GENERATORS), len(EDGES)), np.int64)
+    for r in sums.collect():
+        right[int(r["place"]), r["score"]], n[int(r["place"]), r["score"]] = r["right"], r["n"]
+    return {kind: _limit(right[i], n[i]) for i, (kind, _) in enumerate(GENERATORS)}
+
+
+def _bins(p: np.ndarray) -> np.ndarray:
+    return np.clip(np.searchsorted(EDGES, p, side="right") - 1, 0, None)
+
+
+def _limit(right: np.ndarray, n: np.ndarray) -> float:
+    """The lowest edge from which on the wanted share is confirmed; inf if none is."""
+    above = np.cumsum(n[::-1])[::-1]
+    good = (n > 0) & (np.cumsum(right[::-1])[::-1] >= PRECISION * above)
+    return float(EDGES[np.argmax(good)]) if good.any() else float("inf")
+
+
+def fit_model(df: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Model | None:
+    """Fit on ``sample`` candidates of all texts; None without both labels or ``LEAST``.
+
+    The sample does not depend on how rows are spread, and every candidate counts for the
+    thresholds; only the sample and the counts by score reach the driver.
+    """
+    texts = df.select(F.col(f"`{text_col}`").cast("string").alias("text"))
+    rows = _sample(texts, sample // len(GENERATORS))
+    if len({r["label"] for r in rows}) < 2 or len(rows) < LEAST:
         return None
+    # In the order of the keys, so that those held out to calibrate are of every kind.
+    rows.sort(key=lambda r: (r["key"], r["place"]))
     x = np.array([[r["place"], *r["features"]] for r in rows])
-    y = np.array([r["label"] for r in rows])
-    trees = boosting.fit(x, y)
-    held = np.arange(len(y)) % 5 == 4
-    p = trees.probability(x[held])
-    limits = {}
-    for kind, place in GENERATOR_PLACE.items():
-        own = x[held][:, 0] == place
-        limits[kind] = boosting.threshold(p[own], y[held][own], PRECISION)
-    return Model(trees, limits)
+    trees = boosting.fit(x, np.array([r["label"] for r in rows]))
+    return Model(trees, _limits(texts, trees))
 
 
 def pii_spans(text: str, model: Model | None) -> list[Span]:

@@ -181,6 +181,17 @@ def test_the_model_does_not_depend_on_partitions(spark):
     assert a.limits == b.limits
 
 
+def test_rare_kinds_have_a_threshold_and_copies_take_no_sample(spark):
+    rows = people(1500)
+    cards = ("4111 1111 1111 1111", "5500 0055 5555 5559", "4012 8888 8888 1881", "3714 4963 5398 4314")
+    rare = [(9000 + i, f"{cases.prose(9000 + i, 9)} pay by visa card {cards[i % 3]} please", None, None) for i in range(12)]
+    model = fit_model(cases.frame(spark, rows + rare), sample=800)
+    assert all(model.limits[k] < 1 for k in ("card", "phone")) and model.limits["email"] == float("inf")
+    copied = fit_model(cases.frame(spark, rows + rare + [rows[7]] * 2000), sample=800)
+    x = np.random.default_rng(3).integers(0, 9, (200, 26)).astype(float)
+    assert (copied.trees.margin(x) == model.trees.margin(x)).all()
+
+
 def test_no_candidates_no_model(spark):
     assert fit_model(cases.frame(spark, [])) is None
     assert fit_model(cases.frame(spark)) is None
