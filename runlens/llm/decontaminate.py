@@ -1,7 +1,9 @@
 """Benchmark passages in documents, found by fingerprints of item-sized windows.
 
-A window has as many words as an item.  Its SimHash votes with every shingle it holds, as
-often as it holds it.  Fingerprints are cut into blocks: two within the radius agree in
+A window has as many words as an item.  Its SimHash votes with every shingle it holds; a
+shingle's second, third ... occurrence in the window votes with a hash of its own, so that
+all votes weigh the same and the distance follows from the similarity alone, whether
+shingles repeat or not.  Fingerprints are cut into blocks: two within the radius agree in
 some block up to ``radius // blocks`` bits, so looking every block up in tables that list
 the items within that distance finds all pairs within the radius.  Those pairs are then
 compared exactly, by weighted Jaccard similarity of their shingles (weight: occurrences).
@@ -29,8 +31,9 @@ from runlens.llm.shared import load
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: Of 128 bits; similar windows differ in 19 at the similarity above, give or take 4.
-RADIUS = 32
+#: Of 128 bits; similar windows differ in 19 at the similarity above, give or take 4.  The
+#: largest radius that leaves a block a distance of 4.
+RADIUS = 39
 BLOCKS = 8
 #: Items that one pass over the documents looks for, and most words of them together.
 ITEMS_A_PASS = 1000
@@ -39,12 +42,36 @@ FOUND = "doc_id long, item_id long, similarity double, first_word long, n_words
 _SIEVE_BITS = 22
 
 
-def fingerprints(hashes: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
-    """SimHash of the windows of ``size`` shingles at ``starts``, as 16 bytes each."""
-    both = np.stack([mix(hashes), mix(hashes ^ np.uint64(0x9E3779B97F4A7C15))], 1)
+def _occurrences(hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each place its equals before it in the window it ends, after it in the one it starts."""
+    n = len(hashes)
+    order = np.argsort(hashes, kind="stable")
+    ordered = hashes[order]
+    group = np.cumsum(np.concatenate([[0], ordered[1:] != ordered[:-1]])) * (2 * (n + size) + 1)
+    before, after = np.empty(n, np.int64), np.empty(n, np.int64)
+    before[order] = np.arange(n) - np.searchsorted(group + order, group + np.maximum(order - size + 1, 0))
+    after[order] = np.searchsorted(group + order, group + order + size) - 1 - np.arange(n)
+    return before, after
+
+
+def _votes(hashes: np.ndarray, occurrence: np.ndarray) -> np.ndarray:
+    """Sums of the 128 votes of the first 0, 1, ... hashes."""
+    own = hashes ^ (occurrence.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    both = np.stack([mix(own), mix(own ^ np.uint64(0x9E3779B97F4A7C15))], 1)
     votes = np.unpackbits(both.view(np.uint8), axis=1).astype(np.int32) * 2 - 1
-    sums = np.concatenate([np.zeros((1, 128), np.int32), np.cumsum(votes, axis=0, dtype=np.int32)])
-    return np.packbits(sums[starts + size] > sums[starts], axis=1)
+    return np.concatenate([np.zeros((1, 128), np.int32), np.cumsum(votes, axis=0, dtype=np.int32)])
+
+
+def fingerprints(hashes: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """SimHash of the windows of ``size`` shingles at ``starts``, as 16 bytes each.
+
+    A place that enters a window votes as the occurrence it then is, and one that leaves
+    takes back the last occurrence's vote, so a window's sums depend on what it holds only.
+    """
+    entering, leaving = _occurrences(hashes, size)
+    entered = _votes(hashes, entering)
+    left = _votes(hashes, leaving) if entering.any() else entered
+    return np.packbits(entered[starts + size] > left[starts], axis=1)
 
 
 class BlockIndex:

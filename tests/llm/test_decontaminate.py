@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from runlens.llm import decontaminate
-from runlens.llm.decontaminate import BlockIndex, find_leaks, without_leaks
+from runlens.llm.decontaminate import BlockIndex, find_leaks, fingerprints, without_leaks
 
 ITEM = cases.prose(50, 40)
 ITEMS = [
@@ -95,3 +95,29 @@ def test_block_index_finds_every_pair_within_the_radius():
     row, item = index.near(wanted)
     distance = np.unpackbits(wanted[:, None, :] ^ prints[None, :, :], axis=2).sum(axis=2)
     assert set(zip(row.tolist(), item.tolist())) == set(zip(*(x.tolist() for x in np.nonzero(distance <= 32))))
+
+
+def test_fingerprints_depend_on_what_a_window_holds():
+    rng = np.random.default_rng(4)
+    hashes = rng.integers(0, 2**64, 12, dtype=np.uint64)[rng.integers(0, 12, 300)]
+    for size in (1, 7, 40):
+        starts = np.arange(len(hashes) - size + 1)
+        every = fingerprints(hashes, starts, size)
+        for s in starts[::9]:
+            own = rng.permutation(hashes[s : s + size])
+            assert (fingerprints(own, np.zeros(1, np.int64), size)[0] == every[s]).all()
+
+
+def test_an_altered_refrain_is_found(spark):
+    items, docs = [], []
+    for i in range(20):
+        refrain = [f"r{i}x{k}" for k in range(9)]
+        words = []
+        for part in range(6):
+            words += refrain + [f"u{i}y{part}y{k}" for k in range(37)]
+        changed = [f"{w}altered" if w == refrain[4] else w for w in words]
+        items.append((i, " ".join(words)))
+        docs.append((100 + i, " ".join(["before"] * 9 + changed + ["after"] * 9), None, None))
+    found = find_leaks(cases.frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in found) == [(100 + i, i) for i in range(20)]
+    assert all(0.8 <= r["similarity"] < 0.803 for r in found)
