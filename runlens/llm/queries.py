@@ -1,6 +1,6 @@
 """All queries of this subpackage."""
 
-from runlens.llm import decontaminate, maxent, neardup, packing, pii, quality, secrets, suffixdedup, toxicity, warc
+from runlens.llm import decontaminate, maxent, neardup, packing, pii, quality, secrets, suffixdedup, toxicity, warc, zonemaps
 from runlens.llm.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "decontaminate", "maxent", "neardup", "packing", "pii", "quality", "secrets", "suffixdedup", "toxicity", "warc"]
+__all__ = ["ORACLES", "QUERIES", "decontaminate", "maxent", "neardup", "packing", "pii", "quality", "secrets", "suffixdedup", "toxicity", "warc", "zonemaps"]
