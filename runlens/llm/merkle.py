@@ -214,22 +214,22 @@ def _sql() -> str:
     return f"""
     WITH RECURSIVE leaves AS (
         SELECT row_number() OVER () AS row, *,
-            row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
-            count(*) OVER (PARTITION BY source) AS n
+            row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+            count(*) OVER (PARTITION BY grp) AS n
         FROM (
-            SELECT doc_id, source, sha256({fixed} || {framed("text")}) AS leaf,
+            SELECT doc_id, coalesce('=' || source, '') AS grp, sha256({fixed} || {framed("text")}) AS leaf,
                 CASE WHEN {even} THEN sha256({fixed} || {framed("replace(text, chr(10), '')")}) END AS bad
             FROM documents
         )
     ),
     nodes AS (
-        SELECT 0 AS level, source, place, n, leaf AS h FROM leaves
+        SELECT 0 AS level, grp, place, n, leaf AS h FROM leaves
         UNION ALL
-        SELECT level + 1, source, place // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY place))
-        FROM nodes WHERE n > 1 GROUP BY level, source, place // 3, n
+        SELECT level + 1, grp, place // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY place))
+        FROM nodes WHERE n > 1 GROUP BY level, grp, place // 3, n
     ),
     subroots AS (
-        SELECT source, h, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place,
+        SELECT grp, h, row_number() OVER (ORDER BY grp) - 1 AS place,
             count(*) OVER () AS n
         FROM nodes WHERE n = 1
     ),
@@ -244,16 +244,16 @@ def _sql() -> str:
             coalesce(string_agg(b.h, '' ORDER BY b.place) FILTER (b.place < a.place), '') AS l,
             coalesce(string_agg(b.h, '' ORDER BY b.place) FILTER (b.place > a.place), '') AS r
         FROM (
-            SELECT row, level, source, leaves.place // (3 ** level)::BIGINT AS place
+            SELECT row, level, grp, leaves.place // (3 ** level)::BIGINT AS place
             FROM leaves, range(40) t(level) WHERE leaves.n > (3 ** level)
-        ) a JOIN nodes b USING (level, source) WHERE a.place // 3 = b.place // 3 GROUP BY ALL
+        ) a JOIN nodes b USING (level, grp) WHERE a.place // 3 = b.place // 3 GROUP BY ALL
         UNION ALL
         SELECT row, 100 + level, a.place % 3,
             coalesce(string_agg(b.h, '' ORDER BY b.place) FILTER (b.place < a.place), ''),
             coalesce(string_agg(b.h, '' ORDER BY b.place) FILTER (b.place > a.place), '')
         FROM (
             SELECT row, level, s.place // (3 ** level)::BIGINT AS place
-            FROM leaves JOIN subroots s USING (source), range(40) t(level) WHERE s.n > (3 ** level)
+            FROM leaves JOIN subroots s USING (grp), range(40) t(level) WHERE s.n > (3 ** level)
         ) a JOIN tops b USING (level) WHERE a.place // 3 = b.place // 3 GROUP BY ALL
     ),
     path AS (SELECT *, row_number() OVER (PARTITION BY row ORDER BY level) AS step FROM steps),
@@ -264,7 +264,7 @@ def _sql() -> str:
         FROM fold JOIN path USING (row) WHERE path.step = fold.step + 1
     )
     SELECT doc_id, leaf, s.h AS subroot, root, proof_sha256, folded_root, folded_root = root AS verified
-    FROM leaves JOIN subroots s USING (source)
+    FROM leaves JOIN subroots s USING (grp)
     JOIN (
         SELECT row, coalesce(sha256(string_agg(l || r, '' ORDER BY level)), sha256('')) AS proof_sha256
         FROM leaves LEFT JOIN steps USING (row) GROUP BY row
