@@ -10,14 +10,18 @@ other number groups the negatives.  For each kind a threshold is set by the shar
 patterns confirm among all candidates of all texts, counted by bins of their score.
 
 Null and empty texts have no spans; repeated rows are scanned alike; other columns pass
-through; a column that is already called ``spans`` is replaced; an empty table stays so,
-and a sample without both labels or of fewer than ``LEAST`` gives the base spans only.
+through; a column that is already called ``spans`` is replaced; an empty table stays so.
+The work grows with the length of a text, also where it is full of numbers.  Accepted
+candidates that overlap: the longest stays, of equally long ones the first, then the one of
+the kind listed first.  A sample without both labels or of fewer than ``LEAST`` gives
+the base spans only.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from runlens.llm import boosting
 from runlens.llm.registry import query
 from runlens.llm.shared import drop, load, new_folder
-from runlens.llm.spans import Span, add_spans, apart, count_of, joined
+from runlens.llm.spans import Span, Taken, add_spans, count_of, joined
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "more_email", "more_ip", "more_card", "more_phone")
@@ -44,18 +48,25 @@ PRECISION = 0.85
 #: Lower ends of the score bins that thresholds are set on: logits from -30 to 30.
 EDGES = 1 / (1 + np.exp(-np.linspace(-30, 30, 3001)))
 
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# Patterns whose every start would read a long run of characters again are tried at the
+# start of the run only; there they find the same.
+LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+AT = re.compile("@")
+DOMAIN = re.compile(r"[A-Za-z0-9-]++(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-# Proposals: kind and pattern.
-GENERATORS = (
-    ("email", re.compile(r"[A-Za-z0-9._%+-]+ ?(?:@|\(at\)|\[at\]| at ) ?[A-Za-z0-9-]+(?: ?(?:\.|\(dot\)|\[dot\]| dot ) ?[A-Za-z0-9-]+)+")),
+# Addresses, also spelled out: what follows the local part, and the rest.
+SIGN = re.compile(r" ?(?:@|\(at\)|\[at\]| at ) ?")
+SPELLED = re.compile(r"[A-Za-z0-9-]++(?: ?(?:\.|\(dot\)|\[dot\]| dot ) ?[A-Za-z0-9-]++)+")
+
+# Proposals of numbers: kind and pattern.
+NUMBERS = (
     ("ip", re.compile(r"(?<![0-9.])[0-9]{1,4}(?:\.[0-9]{1,4}){3}(?![0-9])")),
     ("card", re.compile(r"(?<![0-9])[0-9](?:[ .-]?[0-9]){12,18}(?![0-9])")),
     ("phone", re.compile(r"(?<![0-9])\(?[0-9](?:[ ()./-]{0,2}[0-9]){6,14}(?![0-9])")),
-)
+)
 
 COUNTRY = re.compile(r"^[0-9]{1,3}[ .-]+")
 
@@ -75,6 +86,8 @@ _CONTEXT = {
     "other": re.compile(r"order|invoice|isbn|issn|version|\bno\b|page|date|id\b|ref|#|§|\$|€", re.I),
 }
 _BEFORE, _AFTER = 40, 20
+#: Candidates of a text that the trees judge at once.
+_TOGETHER = 1 << 14
 
 
 def luhn(digits: str) -> bool:
@@ -89,9 +102,27 @@ def _digits(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
 
+def addresses(text: str, sign: re.Pattern, domain: re.Pattern) -> Iterator[tuple[int, int]]:
+    """Places of addresses: the local part runs back from the sign, the domain follows it.
+
+    Local parts hold nothing that a sign begins with, so a match begins where its run does
+    or where the last match ended.
+    """
+    end, found = 0, sign.search(text)
+    while found:
+        start = found.start()
+        while start > end and text[start - 1] in LOCAL:
+            start -= 1
+        rest = domain.match(text, found.end()) if start < found.start() else None
+        if rest:
+            end = rest.end()
+            yield start, end
+        found = sign.search(text, max(found.start() + 1, end))
+
+
 def base_spans(text: str) -> list[Span]:
     """Spans of the fixed patterns; a match that fails its test is dropped, not retried."""
-    found = [("email", m.start(), m.end(), True) for m in EMAIL.finditer(text)] if "@" in text else []
+    found = [("email", s, e, True) for s, e in addresses(text, AT, DOMAIN)]
     for m in IP.finditer(text):
         if all(len(n := p.lstrip("0")) <= 3 and int(n or 0) <= 255 for p in m[0].split(".")):
             found.append(("ip", m.start(), m.end(), True))
@@ -140,16 +171,21 @@ def features(text: str, start: int, end: int) -> list[float]:
 
 def proposals(text: str) -> list[tuple[str, int, int]]:
     """Candidate spans of all generators, overlapping ones too."""
-    return [(kind, m.start(), m.end()) for kind, p in GENERATORS for m in p.finditer(text)]
+    found = [("email", s, e) for s, e in addresses(text, SIGN, SPELLED)]
+    return found + [(kind, m.start(), m.end()) for kind, p in NUMBERS for m in p.finditer(text)]
 
 
 def examples(text: str) -> Iterator[tuple[str, list[float], bool]]:
     """Candidates with their features; positive where a base span has that place."""
     base = base_spans(text)
+    free = Taken(base).free
+    # Spans of one kind are apart and ascend, so one at most can hold a candidate.
+    own = {k: [(s, e) for kind, s, e, _ in base if kind == k] for k in BASE_KINDS}
     for kind, start, end in proposals(text):
-        same = any(k == kind and s <= start and end <= e and e - s - (end - start) <= 3 for k, s, e, _ in base)
-        inside = any(s < end and start < e for _, s, e, _ in base)
-        if same or not inside:
+        at = bisect_right(own[kind], (start, len(text)))
+        low, high = own[kind][at - 1] if at else (0, 0)
+        same = end <= high and high - low - (end - start) <= 3
+        if same or free(start, end):
             yield kind, features(text, start, end), same
 
 
@@ -165,7 +201,7 @@ class Model:
         return self.trees.probability(x) >= np.array([self.limits[k] for k, _ in found])
 
 
-GENERATOR_PLACE = {kind: float(i) for i, (kind, _) in enumerate(GENERATORS)}
+GENERATOR_PLACE = {kind: float(i) for i, kind in enumerate(BASE_KINDS)}
 
 
 def _hinted(texts: pa.Array) -> pa.Array:
@@ -224,7 +260,7 @@ def _limits(df: DataFrame, trees: boosting.Boosted) -> dict[str, float]:
     """The threshold of each kind, from the scores of all candidates of all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((len(GENERATORS), len(EDGES), 2), np.int64)
+        counts = np.zeros((len(BASE_KINDS), len(EDGES), 2), np.int64)
         for batch in batches:
             texts = batch.column(0).filter(_hinted(batch.column(0))).to_pylist()
             found = [e for t in texts for e in examples(t)]
@@ -246,10 +282,10 @@ def _limits(df: DataFrame, trees: boosting.Boosted) -> dict[str, float]:
 
     found = df.mapInArrow(run, "place long, score long, right long, n long")
     sums = found.groupBy("place", "score").agg(F.sum("right").alias("right"), F.sum("n").alias("n"))
-    right, n = np.zeros((2, len(GENERATORS), len(EDGES)), np.int64)
+    right, n = np.zeros((2, len(BASE_KINDS), len(EDGES)), np.int64)
     for r in sums.collect():
         right[int(r["place"]), r["score"]], n[int(r["place"]), r["score"]] = r["right"], r["n"]
-    return {kind: _limit(right[i], n[i]) for i, (kind, _) in enumerate(GENERATORS)}
+    return {kind: _limit(right[i], n[i]) for i, kind in enumerate(BASE_KINDS)}
 
 
 def _bins(p: np.ndarray) -> np.ndarray:
@@ -270,7 +306,7 @@ def fit_model(df: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Mo
     thresholds; only the sample and the counts by score reach the driver.
     """
     texts = df.select(F.col(f"`{text_col}`").cast("string").alias("text"))
-    rows = _sample(texts, sample // len(GENERATORS))
+    rows = _sample(texts, sample // len(BASE_KINDS))
     if len({r["label"] for r in rows}) < 2 or len(rows) < LEAST:
         return None
     # In the order of the keys, so that those held out to calibrate are of every kind.
@@ -285,16 +321,22 @@ def pii_spans(text: str, model: Model | None) -> list[Span]:
     spans = base_spans(text)
     if model is None:
         return spans
-    free = apart(spans)
-    new = [c for c in proposals(text) if free(c[1], c[2])]
-    if not new:
-        return spans
-    good = model.accept([(k, features(text, s, e)) for k, s, e in new])
-    chosen: list[Span] = []
-    for (kind, start, end), ok in sorted(zip(new, good), key=lambda c: (c[0][1] - c[0][2], c[0][1])):
-        if ok and apart(chosen)(start, end):
-            chosen.append((f"more_{kind}", start, end, False))
-    return spans + chosen
+    taken = Taken(spans)
+    new = [c for c in proposals(text) if taken.free(c[1], c[2])]
+    good = [
+        c
+        for low in range(0, len(new), _TOGETHER)
+        for c, ok in zip(
+            new[low:], model.accept([(k, features(text, s, e)) for k, s, e in new[low : low + _TOGETHER]])
+        )
+        if ok
+    ]
+    # The longest first, then the earliest; of equal places the first generator's.
+    for kind, start, end in sorted(good, key=lambda c: (c[1] - c[2], c[1])):
+        if taken.free(start, end):
+            taken.add(start, end)
+            spans.append((f"more_{kind}", start, end, False))
+    return spans
 
 
 def scan_pii(df: DataFrame, text_col: str = "text", model: Model | None = None) -> DataFrame:

@@ -8,6 +8,8 @@ vocabulary encodes in few tokens are left out; all else the characters per token
 
 Null and empty texts have no spans; repeated rows are scanned alike; other columns pass
 through; a column that is already called ``spans`` is replaced; an empty table stays so.
+The work grows with the length of a text, also where it is full of spans; overlapping spans
+of several kinds all stay, and a token string never overlaps a base span.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from runlens.llm.registry import query
 from runlens.llm.shared import load
-from runlens.llm.spans import Span, add_spans, apart, count_of, joined, without
+from runlens.llm.spans import Span, Taken, add_spans, count_of, joined, without
 
 KINDS = ("assign", "access", "hex", "token")
 
@@ -116,7 +118,7 @@ def secret_spans(text: str, vocabulary) -> list[Span]:
         if m.end() - m.start() >= 18
     ]
     spans += [("hex", m.start(), m.end(), True) for m in HEX.finditer(text)]
-    free = apart(spans)
+    free = Taken(spans).free
     for m in CANDIDATE.finditer(text):
         places = [(m.start(), m.end())]
         if not (free(*places[0]) and unlikely(m[0], vocabulary)):

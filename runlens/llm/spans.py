@@ -23,10 +23,32 @@ _SPARK_SPANS = T.ArrayType(
 )
 
 
-def apart(spans: list[Span]) -> Callable[[int, int], bool]:
-    """Whether a range touches none of the given spans."""
-    taken = [(s, e) for _, s, e, _ in spans]
-    return lambda start, end: all(end <= s or e <= start for s, e in taken)
+class Taken:
+    """The code points of a text that some span covers; asking and adding cost its length."""
+
+    def __init__(self, spans: list[Span] = ()):
+        self.marks = bytearray(max((e for _, _, e, _ in spans), default=0))
+        for _, start, end, _ in spans:
+            self.add(start, end)
+
+    def add(self, start: int, end: int) -> None:
+        if end > len(self.marks):
+            self.marks.extend(bytes(end - len(self.marks)))
+        self.marks[start:end] = b"\1" * (end - start)
+
+    def free(self, start: int, end: int) -> bool:
+        """Whether no span covers any of these code points."""
+        return self.marks.find(1, start, end) < 0
+
+
+def cut_out(text: str, spans: list[tuple[int, int]], mark: str) -> str:
+    """The text with every span, overlapping ones together, replaced by ``mark``."""
+    at, pieces = 0, []
+    for start, end in sorted(spans):
+        if start >= at:
+            pieces += [text[at:start], mark]
+        at = max(at, end)
+    return "".join([*pieces, text[at:]])
 
 
 def add_spans(
@@ -87,20 +109,15 @@ def count_of(kind: str, column: str = "spans") -> Column:
 
 def without(text_col: str, mark: str, column: str = "spans") -> Column:
     """The text with every span, overlapping ones together, replaced by ``mark``."""
-    text = F.col(f"`{text_col}`")
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("made"))
-
-    def step(a: Column, s: Column) -> Column:
-        from_ = F.greatest(a["at"], s["start"])
-        before = F.substring(text, (a["at"] + 1).cast("int"), (from_ - a["at"]).cast("int"))
-        fresh = s["start"] >= a["at"]
-        kept = F.when(fresh, F.concat(a["made"], before, F.lit(mark))).otherwise(a["made"])
-        return F.struct(F.greatest(a["at"], s["end"]).alias("at"), kept.alias("made"))
-
-    ordered = F.array_sort(
-        F.transform(column, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
-    )
-    tail = lambda a: F.concat(
-        a["made"], F.substring(text, (a["at"] + 1).cast("int"), F.lit(2**31 - 1))
-    )
-    return F.when(F.size(column) > 0, F.aggregate(ordered, start, step, tail)).otherwise(text)
+
+    @F.arrow_udf("string")
+    def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
+        rows = zip(texts.to_pylist(), spans.to_pylist())
+        return pa.array(
+            [t if t is None else cut_out(t, [(s["start"], s["end"]) for s in own], mark) for t, own in rows],
+            pa.string(),
+        )
+
+    text, some = F.col(f"`{text_col}`"), F.size(column) > 0
+    # Only texts with spans go to Python.
+    return F.when(some, cut(F.when(some, text), F.when(some, F.col(column)))).otherwise(text)

@@ -12,9 +12,9 @@ import pyarrow as pa
 import pytest
 
 from runlens.llm import boosting
-from runlens.llm.pii import KINDS as PII_KINDS, _hinted, base_spans, fit_model, pii_spans, proposals, scan_pii
+from runlens.llm.pii import AT, DOMAIN, KINDS as PII_KINDS, SIGN, SPELLED, _hinted, addresses, base_spans, examples, features, fit_model, pii_spans, proposals, scan_pii
 from runlens.llm.secrets import KINDS, encoding, redact_secrets, scan_secrets, secret_spans
-from runlens.llm.spans import add_spans, joined
+from runlens.llm.spans import add_spans, cut_out, joined
 
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
 RANDOM_KEY = "q9Zx7Kp2Lm4Vt8Rw1Yb6Nc3Jd5"
@@ -224,3 +224,72 @@ def test_queries_digest_every_document(spark, name):
     for d in docs:
         expected = plain(d["text"])
         assert found[d["doc_id"]]["base_sha256"] == hashlib.sha256(expected.encode()).hexdigest()
+
+
+def test_addresses_equal_their_patterns():
+    """The search from the sign finds what a pattern for the whole address finds."""
+    base = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+    more = re.compile(
+        r"[A-Za-z0-9._%+-]+ ?(?:@|\(at\)|\[at\]| at ) ?[A-Za-z0-9-]+"
+        r"(?: ?(?:\.|\(dot\)|\[dot\]| dot ) ?[A-Za-z0-9-]+)+"
+    )
+    rng = random.Random(8)
+    pieces = ["a", "b.c", "@", " at ", "(at)", "[dot]", " dot ", ".", "-", "%", " ", "1", "é", "\n", "(dot)"]
+    for _ in range(20_000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randrange(3, 22)))
+        assert [m.span() for m in base.finditer(text)] == list(addresses(text, AT, DOMAIN))
+        assert [m.span() for m in more.finditer(text)] == list(addresses(text, SIGN, SPELLED))
+
+
+def plain_examples(text):
+    """As ``examples``, every candidate held against every base span."""
+    base = base_spans(text)
+    for kind, start, end in proposals(text):
+        same = any(k == kind and s <= start and end <= e and e - s - (end - start) <= 3 for k, s, e, _ in base)
+        if same or not any(s < end and start < e for _, s, e, _ in base):
+            yield kind, start, end, same
+
+
+def test_long_texts_full_of_spans():
+    """The same spans as from all pairs; twenty times the text takes no more than it."""
+    from time import perf_counter
+
+    rng = random.Random(9)
+    num = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
+    shapes = [lambda: f"+1 ({num(3)}) {num(3)}-{num(4)}", lambda: f"{num(2)}.{num(2)}.{num(2)}.{num(2)}", lambda: num(16), lambda: "a.b@c.de", lambda: f"{num(3)} {num(4)}"]
+    text = " ".join(rng.choice(shapes)() for _ in range(300))
+    short = [(k, f, y) for k, f, y in examples(text)]
+    assert short == [(k, features(text, s, e), y) for k, s, e, y in plain_examples(text)]
+
+    class All:
+        def accept(self, found):
+            return np.ones(len(found), bool)
+
+    spans = pii_spans(text, All())
+    added = [(s, e) for _, s, e, base in spans if not base]
+    assert added and not any(s < f and t < e for i, (s, e) in enumerate(added) for t, f in added[:i])
+    keys = " ".join(RANDOM_KEY[i % 9 :] + num(6) for i in range(300))
+    vocabulary = encoding(PATH)
+    for work in (
+        lambda n: (sum(1 for _ in examples((text + " ") * n)), pii_spans((text + " ") * n, All())),
+        lambda n: secret_spans((keys + " ") * n, vocabulary),
+        lambda n: cut_out(text * n, [(i, i + 3) for i in range(0, len(text) * n, 7)], "#"),
+    ):
+        times = []
+        for n in (10, 200):
+            start = perf_counter()
+            work(n)
+            times.append(perf_counter() - start)
+        assert times[1] < 20 * 4 * times[0] + 2
+    assert len(secret_spans(keys * 100, vocabulary)) > 20_000
+    for run in ("a" * 300_000, "1" * 300_000, "@" * 300_000, "a@" * 150_000, "1." * 150_000):
+        start = perf_counter()
+        pii_spans(run, All())
+        secret_spans(run, vocabulary)
+        assert perf_counter() - start < 10
+
+
+def test_redaction_of_a_long_text(spark):
+    rows = [(1, f"{cases.LONG} {RANDOM_KEY} {cases.LONG}", None, None)]
+    text = redact_secrets(cases.frame(spark, rows), PATH).first()["text"]
+    assert text == f"{cases.LONG} [SECRET] {cases.LONG}"
