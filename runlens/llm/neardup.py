@@ -8,21 +8,26 @@ similarity; ``ROWS`` samples make a band key.  Documents that share a key are co
 exactly, and those of similarity 0.8 or more are linked; a class is a connected component.
 
 Not every pair under a key is compared.  First one pivot per key is compared with the
-rest.  Then, as long as the documents of a key lie in several components, those outside
-the largest are compared with the documents of other components that no pivot has met.  A
-key with many such documents (texts that share a passage, say) is split by their other
-band keys first.  Documents that share a key are not compared if the smaller weighs less
-than 0.8 of the larger or if none of their rarest shingles, more than 0.2 of each one's
-weight, is shared: their similarity cannot be 0.8 then, whatever the order of rarity, for
-which counts in buckets do.  Nor are they if they agree in fewer than ``AGREE`` of all
-samples.  A link of similarity 0.8 is missed with a probability of 0.0002 by the bands,
-0.0024 under a split key, and 0.0001 by ``AGREE``; higher similarities more rarely.  Copies (equal words) are one node
-from the start.
+rest.  Then, where the documents of a key lie in several components, those outside the
+largest meet all documents of other components, ``BLOCK`` documents at a time and without
+their texts.  Shingles have a common order, rarest first.  The first shingle of that order
+that two documents share bounds their similarity: nothing before it is shared, so at most
+the lesser of what is left of each one's weight is.  Pairs whose bound is below 0.8 are
+out; so a document keeps its rarest shingles up to 0.2 of its weight, with the weight
+before each.  That is exact, whatever the order, for which counts in buckets do.  Where
+similar texts differ in rare shingles, the bound is close to the similarity itself.  Each
+pair is looked at under the first key it shares, and what is left is compared exactly.  No
+number of documents changes what is compared.
+
+Nor are documents compared if they agree in fewer than ``AGREE`` of all samples.  A link of
+similarity 0.8 is missed with a probability of 0.0002 by the bands and 0.0001 by ``AGREE``;
+higher similarities more rarely.  Copies (equal words) are one node from the start.
 
 Words are runs of ASCII letters (lower-cased), digits and characters beyond ASCII.  A
 text of fewer than five words is one shingle; texts without words (null and empty ones
 too) are copies of each other.  Rows with equal ids are one document.  Rows without an id
-have no class (null) and take part in nothing.  An empty table gives no rows.
+have no class (null) and take part in nothing.  An empty table gives no rows.  Texts of any
+length are read whole.  Other columns play no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -31,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from runlens.llm.bytetext import PLAIN, Rows, chunks, mix, shingles, words
 from runlens.llm.components import components
@@ -48,8 +53,9 @@ SAMPLES = 90
 BUCKET_BITS = 18
 #: Members of a pivot that one task compares before the next takes over.
 SALT_SIZE = 64
-#: Documents of a key that become pivots in one round; with more, the key is split once.
-PIVOTS = 256
+#: Documents, and rarest shingles of all of them, of a block of a key.
+BLOCK = 1024
+BLOCK_SHINGLES = 1 << 21
 #: Fewest equal samples, of ``SAMPLES``, of two documents worth comparing.
 AGREE = 58
 
@@ -83,7 +89,8 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
 def weighted_sets(rows: Rows, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Each row's distinct shingles and weights: ids, weights, row bounds, row signatures.
 
-    The signature stands for the words in their order; it is 0 for a row without words.
+    The signature, two numbers, stands for the words in their order; both are 0 for a row
+    without words.
     """
     found = words(rows, PLAIN, lower=True)
     grams, bounds = shingles(found, SHINGLE)
@@ -94,16 +101,18 @@ def weighted_sets(rows: Rows, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     row = np.repeat(np.arange(rows.count), np.diff(bounds))
     # The place of a word in its row enters its row's signature.
     place = np.arange(len(found.hash)) - np.repeat(found.bounds[:-1], counts)
-    placed = mix(found.hash ^ mix(place.astype(np.uint64) + np.uint64(1)))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(placed, dtype=np.uint64)])
-    signature = sums[found.bounds[1:]] - sums[found.bounds[:-1]]
+    turn = mix(place.astype(np.uint64) + np.uint64(1))
+    signature = np.zeros((rows.count, 2), np.uint64)
+    for side, placed in enumerate((mix(found.hash ^ turn), mix(found.hash + turn))):
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(placed, dtype=np.uint64)])
+        signature[:, side] = sums[found.bounds[1:]] - sums[found.bounds[:-1]]
     short = np.flatnonzero((counts > 0) & (counts < SHINGLE))
     if len(short):
-        grams = np.concatenate([grams, mix(signature[short])])
+        grams = np.concatenate([grams, mix(signature[short, 0])])
         own = np.array([rare[found.bounds[r] : found.bounds[r + 1]].mean() for r in short])
         mean = np.concatenate([mean, own.astype(np.float32)])
         row = np.concatenate([row, short])
-    signature = np.where(counts > 0, signature | np.uint64(1), np.uint64(0))
+    signature = np.where(counts[:, None] > 0, signature | np.uint64(1), np.uint64(0))
     ids = grams >> np.uint64(16)
     key = (row.astype(np.uint64) << np.uint64(48)) | ids
     order = np.argsort(key)
@@ -219,15 +228,18 @@ def _adder(dtype: str):
 
 
 _SIGNED = (
-    "doc_id long, signature long, keys array<long>, rare array<int>, weight double, "
+    "doc_id long, signature long, second long, keys array<long>, rare array<int>, before array<float>, weight double, "
     + ", ".join(f"{b} long" for b in _BITS)
 )
 
 
 def rarest(
     ids: np.ndarray, weights: np.ndarray, bounds: np.ndarray, often: np.ndarray, least: float
-) -> tuple[np.ndarray, np.ndarray]:
-    """Each row's rarest shingles with just over ``1 - least`` of its weight, as 32 bits each."""
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each row's rarest shingles with just over ``1 - least`` of its weight, as 32 bits each.
+
+    In the common order, with the weight before each; and how many each row has.
+    """
     row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     # Ids are the upper 48 bits of the hashes that the counts are by.
     order = np.lexsort((ids, often[ids >> np.uint64(48 - BUCKET_BITS)], row))
@@ -236,7 +248,8 @@ def rarest(
     whole = np.repeat(sums[bounds[1:]] - sums[bounds[:-1]], np.diff(bounds))
     kept = before <= (1 - least + 1e-6) * whole
     counts = np.bincount(row[kept], minlength=len(bounds) - 1)
-    return mix(ids[order[kept]]).astype(np.uint32).view(np.int32), counts
+    names = mix(ids[order[kept]]).astype(np.uint32).view(np.int32)
+    return names, before[kept].astype(np.float32), counts
 
 
 def _signer(idf, often, least):
@@ -249,24 +262,26 @@ def _signer(idf, often, least):
                 whole = sums[bounds[1:]] - sums[bounds[:-1]]
                 rare = rarest(ids, weights, bounds, often.value, least)
                 parts.append((signature, *band_keys(ids, weights, bounds), whole, *rare))
-            signature = np.concatenate([p[0] for p in parts] or [np.zeros(0, np.uint64)])
+            signature = np.concatenate([p[0] for p in parts] or [np.zeros((0, 2), np.uint64)])
             keys = np.concatenate([p[1] for p in parts] or [np.zeros((0, BANDS), np.uint64)])
             bits = np.concatenate([p[2] for p in parts] or [np.zeros((0, _NUMBERS), np.uint64)])
             weight = np.concatenate([p[3] for p in parts] or [np.zeros(0)])
             rare = np.concatenate([p[4] for p in parts] or [np.zeros(0, np.int32)])
-            ends = np.cumsum(np.concatenate([[0], *(p[5] for p in parts)]))
+            before = np.concatenate([p[5] for p in parts] or [np.zeros(0, np.float32)])
+            ends = np.cumsum(np.concatenate([[0], *(p[6] for p in parts)])).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
-                    pa.array(signature.view(np.int64)),
+                    *(pa.array(np.ascontiguousarray(s).view(np.int64)) for s in signature.T),
                     pa.FixedSizeListArray.from_arrays(
                         pa.array(np.ascontiguousarray(keys).view(np.int64).ravel()), BANDS
                     ).cast(pa.list_(pa.int64())),
-                    pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(rare)),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(rare)),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(before)),
                     pa.array(weight),
                     *(pa.array(np.ascontiguousarray(b).view(np.int64)) for b in bits.T),
                 ],
-                names=["doc_id", "signature", "keys", "rare", "weight", *_BITS],
+                names=["doc_id", "signature", "second", "keys", "rare", "before", "weight", *_BITS],
             )
 
     return sign
@@ -374,10 +389,10 @@ def near_duplicates(
         return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
 
     signed = written(known.mapInArrow(_signer(idf, often, least), _SIGNED), "signed")
-    nodes = signed.groupBy("signature").agg(
+    nodes = signed.groupBy("signature", "second").agg(
         F.min("doc_id").alias("node"),
         F.first("keys").alias("keys"),
-        *(F.first(c).alias(c) for c in ("rare", "weight", *_BITS)),
+        *(F.first(c).alias(c) for c in ("rare", "before", "weight", *_BITS)),
     )
     nodes = written(nodes, "nodes")
     one = F.struct("node", "weight", *_BITS).alias("d")
@@ -393,25 +408,15 @@ def near_duplicates(
     texts = written(known.join(wanted.hint("merge"), "doc_id", "left_semi"), "texts")
     links = written(_links(pairs.distinct(), texts, idf, least), "links-0")
     parts = written(components(links), "parts-0", True)
-    active = others.select("key", "d", F.lit(False).alias("split"), "band")
-    step = 0
-    while active.limit(1).count():
-        step += 1
-        mixed, crowded = _mixed(active, parts)
-        rare = nodes.select(F.col("node").alias("_n"), "rare")
-        mixed = mixed.join(rare, F.col("d.node") == F.col("_n")).drop("_n")
-        mixed = written(mixed, f"mixed-{step}")
-        opened = written(_open_pairs(mixed, least).distinct(), f"open-{step}", True)
-        if opened.limit(1).count():
-            links = written(_links(opened, texts, idf, least), f"links-{step}")
-            grown = components(links.unionByName(_as_edges(parts)))
-            parts = written(grown, f"parts-{step}", True)
-        active = mixed.filter("NOT chosen").select("key", "d", "split", "band")
-        active = written(active.unionByName(_split(crowded, nodes)), f"active-{step}", True)
+    opened = written(_open_pairs(members, parts, nodes, least), "open")
+    if opened.limit(1).count():
+        links = written(_links(opened, texts, idf, least), "links-1")
+        parts = written(components(links.unionByName(_as_edges(parts))), "parts-1", True)
     drop(spark, f"{folder}/texts")
-    named = nodes.select("signature", "node").join(parts, "node", "left")
-    classes = named.select("signature", F.coalesce("component", "node").alias("class_id"))
-    found = signed.select("doc_id", "signature").join(classes, "signature").select("doc_id", "class_id")
+    named = nodes.select("signature", "second", "node").join(parts, "node", "left")
+    classes = named.select("signature", "second", F.coalesce("component", "node").alias("class_id"))
+    copies = signed.select("doc_id", "signature", "second").join(classes, ["signature", "second"])
+    found = copies.select("doc_id", "class_id")
     lost = source.filter("doc_id IS NULL").select("doc_id", F.lit(None).cast("long").alias("class_id"))
     return found.unionByName(lost).withColumnRenamed("doc_id", id_col)
 
@@ -420,68 +425,144 @@ def _as_edges(parts: DataFrame) -> DataFrame:
     return parts.select(F.col("node").alias("u"), F.col("component").alias("v"))
 
 
-def _mixed(active: DataFrame, parts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Documents of keys in several components: to be compared now, and to be split first.
+def _open_pairs(members: DataFrame, parts: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+    """Pairs ``(u, v)`` of a key in different components that may be similar.
 
-    ``chosen`` marks this round's pivots, at most ``PIVOTS`` documents of a key outside its
-    largest component.
+    The documents of a key outside its largest component are laid out in blocks, those
+    inside in others; a block of the first kind meets every block.
     """
     named = parts.withColumnRenamed("node", "_n")
-    own = active.join(named, F.col("d.node") == F.col("_n"), "left").withColumn(
-        "part", F.coalesce("component", "d.node")
-    )
-    own = own.select("key", "d", "split", "band", "part")
-    sizes = own.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"))
-    top = sizes.groupBy("key").agg(
-        F.max(F.struct("n", "part")).alias("top"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("parts")
+    own = members.select("key", "band", F.col("d.node").alias("node"))
+    size = nodes.select(F.col("node").alias("_m"), F.size("rare").cast("long").alias("held"))
+    own = (
+        own.join(named, F.col("node") == F.col("_n"), "left")
+        .join(size, F.col("node") == F.col("_m"))
+        .select("key", "band", "node", "held", F.coalesce("component", "node").alias("part"))
     )
-    top = top.filter("parts > 1").select(
-        "key", F.col("top.part").alias("main"), (F.col("all") - F.col("top.n")).alias("outside")
+    sizes = own.groupBy("key", "part").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("held").alias("held")
     )
-    inside = own.join(top, "key")
-    crowd = (F.col("outside") > PIVOTS) & ~F.col("split")
-    now = inside.filter(~crowd)
-    order = Window.partitionBy("key").orderBy(F.xxhash64("d.node"), "d.node")
-    pivots = (
-        now.filter("part <> main")
-        .select("key", "d")
-        .withColumn("place", F.row_number().over(order))
-        .filter(F.col("place") <= PIVOTS)
-        .select("key", F.col("d.node").alias("_n"), "place")
+    keys = sizes.groupBy("key").agg(
+        F.max(F.struct("n", "part", "held")).alias("top"),
+        F.sum("n").alias("n"),
+        F.sum("held").alias("held"),
+        F.count(F.lit(1)).alias("several"),
     )
-    ranked = now.withColumn("_n", F.col("d.node")).join(pivots, ["key", "_n"], "left").select(
-        "key", "d", "split", "band", "part", "place", F.col("place").isNotNull().alias("chosen")
-    )
-    return ranked, inside.filter(crowd).select("key", "d", "band")
 
+    def blocks(n: Column, held: Column) -> Column:
+        return F.greatest(F.ceil(n / BLOCK), F.ceil(held / BLOCK_SHINGLES), F.lit(1))
 
-def _open_pairs(mixed: DataFrame, least: float) -> DataFrame:
-    """Pairs of a pivot and a document of another component that no pivot has met."""
-    heads = mixed.filter("chosen").select(
+    one = (F.col("n") <= BLOCK) & (F.col("held") <= BLOCK_SHINGLES)
+    out = blocks(F.col("n") - F.col("top.n"), F.col("held") - F.col("top.held"))
+    inside = blocks(F.col("top.n"), F.col("top.held"))
+    keys = keys.filter("several > 1").select(
         "key",
-        F.col("d").alias("p"),
-        F.col("part").alias("p_part"),
-        F.col("place").alias("p_place"),
-        F.col("rare").alias("p_rare"),
+        F.when(~one, F.col("top.part")).alias("main"),
+        F.when(one, 1).otherwise(out).alias("out"),
+        F.when(one, 1).otherwise(out + inside).alias("all"),
     )
-    close = _agree("p", "d", least) & F.arrays_overlap("rare", "p_rare")
-    later = F.col("place").isNull() | (F.col("place") > F.col("p_place"))
-    return (
-        heads.join(mixed, "key")
-        .filter((F.col("part") != F.col("p_part")) & later & close)
-        .select(F.col("p.node").alias("u"), F.col("d.node").alias("v"))
+    spread = F.xxhash64("node")
+    mine = F.when(
+        F.col("part").eqNullSafe(F.col("main")), F.col("out") + F.pmod(spread, F.col("all") - F.col("out"))
+    ).otherwise(F.pmod(spread, F.col("out")))
+    met = own.join(keys, "key").withColumn("block", mine)
+    # A block of the largest component meets those outside only.
+    others = F.when(F.col("block") < F.col("out"), F.col("all")).otherwise(F.col("out"))
+    met = met.select(
+        "key", "band", "node", "part", "block", F.explode(F.sequence(F.lit(0).cast("long"), others - 1)).alias("other")
+    )
+    fields = ["weight", *_BITS, "keys", "rare", "before"]
+    marks = nodes.select(F.col("node").alias("_n"), *fields)
+    rows = met.join(marks, F.col("node") == F.col("_n")).select(
+        "key",
+        F.least("block", "other").alias("a"),
+        F.greatest("block", "other").alias("b"),
+        "block",
+        "band",
+        "node",
+        "part",
+        *fields,
     )
+    laid = rows.repartition("key", "a", "b").sortWithinPartitions("key", "a", "b", "node")
+    return laid.mapInArrow(_meeter(least), "u long, v long")
 
 
-def _split(crowded: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The documents of a crowded key under that key and one of their other band keys."""
-    keys = nodes.select(F.col("node").alias("_n"), F.posexplode("keys").alias("other", "more"))
-    both = crowded.join(keys, F.col("d.node") == F.col("_n")).filter("other <> band")
-    cut = both.select(
-        F.xxhash64("key", "other", "more").alias("key"), "d", F.lit(True).alias("split"), "band"
-    )
-    size = cut.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    return cut.join(size, "key")
+def _meeter(least: float):
+    """Pairs worth comparing of rows sorted by key and pair of blocks."""
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        group = None
+
+        def done() -> pa.RecordBatch:
+            table = pa.Table.from_batches(held).combine_chunks()
+            held.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(x, pa.int64()) for x in _worth(table, least)], names=["u", "v"]
+            )
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            marks = np.stack([batch.column(i).to_numpy() for i in range(3)])
+            starts = np.flatnonzero(np.append(True, (marks[:, 1:] != marks[:, :-1]).any(axis=0)))
+            for start, end in zip(starts, [*starts[1:], batch.num_rows]):
+                own = tuple(marks[:, start])
+                if held and own != group:
+                    yield done()
+                group = own
+                held.append(batch.slice(start, end - start))
+        if held:
+            yield done()
+
+    return meet
+
+
+def first_shared(rare: np.ndarray, before: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
+    """For rows ``i`` and ``j`` the weight of ``i`` before the first shingle that ``j`` has too.
+
+    Infinite where they share none of the given ones.
+    """
+    found = np.full((n, n), np.inf, np.float32)
+    order = np.argsort(rare, kind="stable")
+    rare, before, row = rare[order], before[order], row[order]
+    starts = np.flatnonzero(np.append(True, rare[1:] != rare[:-1])) if len(rare) else []
+    for start, end in zip(starts, [*starts[1:], len(rare)]):
+        if end - start > 1:
+            at = row[start:end]
+            both = np.ix_(at, at)
+            found[both] = np.minimum(found[both], before[start:end, None])
+    return found
+
+
+def _worth(table: pa.Table, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes of the pairs of a pair of blocks that are neither connected nor ruled out."""
+    column = {c: table.column(c).combine_chunks() for c in table.column_names}
+    node, part, block, weight = (column[c].to_numpy() for c in ("node", "part", "block", "weight"))
+    n = len(node)
+    bounds = column["rare"].offsets.to_numpy()
+    row = np.repeat(np.arange(n), np.diff(bounds))
+    before = column["before"].flatten().to_numpy()
+    apart = first_shared(column["rare"].flatten().to_numpy(), before, row, n)
+    left = weight[:, None] * (1 + 1e-5) - apart
+    enough = least / (1 + least) * (weight[:, None] + weight[None, :])
+    worth = (np.minimum(left, left.T) >= enough) & (part[:, None] != part[None, :])
+    if column["a"][0].as_py() != column["b"][0].as_py():
+        worth &= block[:, None] != block[None, :]
+    u, v = np.nonzero(np.triu(worth, 1))
+    # Under the first key that both have, and only if enough samples agree.
+    keys = column["keys"].flatten().to_numpy().reshape(n, BANDS)
+    first = (keys[u] == keys[v]).argmax(axis=1) == column["band"].to_numpy()[0]
+    u, v = u[first], v[first]
+    equal = np.zeros(len(u), np.int64)
+    for name in _BITS:
+        bits = column[name].to_numpy().view(np.uint64)
+        differ = bits[u] ^ bits[v]
+        differ |= differ >> np.uint64(1)
+        differ |= differ >> np.uint64(2)
+        equal += 15 - np.bitwise_count(differ & np.uint64(0x1111111111111111)).astype(np.int64)
+    near = equal >= AGREE
+    return node[u[near]], node[v[near]]
 
 
 def first_of_class(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -64,9 +64,9 @@ def families(n):
     return rows
 
 
-@pytest.mark.parametrize("pivots,salt", [(64, 64), (2, 2)])
-def test_classes_equal_brute_force(spark, monkeypatch, pivots, salt):
-    monkeypatch.setattr(neardup, "PIVOTS", pivots)
+@pytest.mark.parametrize("block,salt", [(1024, 64), (2, 2)])
+def test_classes_equal_brute_force(spark, monkeypatch, block, salt):
+    monkeypatch.setattr(neardup, "BLOCK", block)
     monkeypatch.setattr(neardup, "SALT_SIZE", salt)
     rows = [*cases.ROWS, *families(8)]
     found = near_duplicates(cases.frame(spark, rows, extra=True)).collect()
@@ -121,3 +121,60 @@ def test_components_of_paths_stars_and_rings(spark):
     assert all(found[i] == 0 for i in range(41)) and all(found[i] == 100 for i in range(100, 160))
     assert all(found[200 + i] == 200 for i in range(9)) and 300 not in found
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def family_of(n):
+    """Texts that are 0.6 to 0.9 similar to each other: a shared part, and a part of their own."""
+    rng, rows = random.Random(12), []
+    shared = cases.prose(700, 200).split()
+    for k in range(n):
+        own = [f"own{k}x{i}" for i in range(rng.choice((4, 5, 6, 7, 8)))]
+        at = rng.randrange(3)
+        rows.append((5000 + k, " ".join([*own, *shared] if at == 0 else [*shared, *own] if at == 1 else [*shared[:50], *own, *shared[50:]]), None, None))
+    return rows
+
+
+@pytest.mark.parametrize("block", [100])
+def test_large_family_below_and_above_the_threshold(spark, monkeypatch, block):
+    """All links of a family whose pairs lie on both sides of 0.8, and few pairs compared."""
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    rows = family_of(250)
+    opened = []
+    links = neardup._links
+
+    def counted(pairs, *more):
+        opened.append(pairs.count())
+        return links(pairs, *more)
+
+    monkeypatch.setattr(neardup, "_links", counted)
+    found = near_duplicates(cases.frame(spark, rows)).collect()
+    want = brute(rows)
+    assert {r["doc_id"]: r["class_id"] for r in found} == want
+    assert 50 < len(set(want.values())) < 240
+    pairs = len(rows) * (len(rows) - 1) / 2
+    assert sum(opened) < pairs / 3, f"{opened} of {pairs}"
+
+
+def test_bounds_hold_for_random_sets():
+    """No pair of 0.8 or more is ruled out by the first shared of the rarest shingles."""
+    rng = np.random.default_rng(7)
+    often = np.zeros(1 << neardup.BUCKET_BITS, np.int64)
+    sets = []
+    for _ in range(40):
+        ids = np.sort(rng.choice(60, rng.integers(1, 50), replace=False)).astype(np.uint64) << np.uint64(40)
+        sets.append((ids, rng.uniform(0.5, 4, len(ids)).astype(np.float32)))
+        near = np.delete(ids, rng.integers(len(ids)))
+        sets.append((near, np.delete(sets[-1][1], rng.integers(len(ids)))))
+    ids, weights = (np.concatenate(x) for x in zip(*sets))
+    bounds = np.cumsum([0, *(len(i) for i, _ in sets)])
+    rare, before, counts = neardup.rarest(ids, weights, bounds, often, 0.8)
+    apart = neardup.first_shared(rare, before, np.repeat(np.arange(len(sets)), counts), len(sets))
+    whole = np.array([w.sum(dtype=np.float64) for _, w in sets])
+    near = 0
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            if i != j and len(a[0]) and len(b[0]) and jaccard(*a, *b) >= 0.8:
+                shared = min(whole[i] - apart[i, j], whole[j] - apart[j, i])
+                assert shared / (whole[i] + whole[j] - shared) >= 0.8 - 1e-5
+                near += 1
+    assert near > 20
