@@ -1,5 +1,7 @@
 """Streaming jobs, run until the given tables are used up."""
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from runlens.operators.lines import text_lines
@@ -18,6 +20,7 @@ from runlens.streaming.progress import (
     write_strict_progress,
     write_updates,
 )
+from runlens.streaming.stagestate import rocksdb_state, stage_updates
 
 
 def _event_stream(spark, folder):
@@ -42,6 +45,26 @@ def stream_stage_progress_strict(spark, folder):
     return latest_progress(spark, f"{out}/rows").select(*COUNTERS)
 
 
+@query("stream_stage_state", ON_TIME_SQL)
+def stream_stage_state(spark, folder):
+    """Keyed state over five runs of the stream, each with a later part of the events."""
+    out = new_folder(spark, "stage-state")
+    events = mixed_events(load(spark, folder, "orders"), load(spark, folder, "lineitem"))
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    cuts = events.agg(F.percentile_approx(at, [0.2, 0.4, 0.6, 0.8]).alias("c")).first()["c"]
+    if cuts is None:  # no events at all
+        return events.select(*(F.lit(None).alias(c) for c in COUNTERS)).limit(0)
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        part = events.filter(at > low) if low is not None else events
+        part = part.filter(at <= high) if high is not None else part
+        part.write.mode("append").parquet(f"{out}/in")
+        arriving = spark.readStream.schema(events.schema).parquet(f"{out}/in")
+        with rocksdb_state(spark):
+            changed = stage_updates(arriving, timedelta(days=60))
+            run_available(write_updates(changed, f"{out}/rows"), f"{out}/checkpoint")
+    return latest_progress(spark, f"{out}/rows").select(*COUNTERS)
+
+
 @query(
     "stream_log_tail",
     f"""

@@ -5,7 +5,10 @@ Input: a stream of run events ``(app_id, stage_id, kind, ts, num_tasks, stage_na
 :func:`progress_updates` keeps partial counts on the map side and one small state per
 stage; a task event counts as soon as its stage is known, early or not.
 :func:`write_strict_progress` drops task events that come before their stage, as a
-live listener does, and forgets stages that stay quiet.
+live listener does.  It forgets a completed stage once events of a later time have come,
+``ttl`` after its completion; a stage that has not completed is never forgotten, however
+long it is quiet, and no clock is read.  :mod:`runlens.streaming.stagestate` does the same
+with keyed state.
 """
 
 from __future__ import annotations
@@ -24,16 +27,15 @@ from runlens.operators.progress import (
     last_completion,
     split_events,
     started_count,
-    task_counts,
 )
 from runlens.operators.skew import lookup_join
 from runlens.streaming.backoff import retrying
 
-# A stage without events for this long is forgotten by the strict rule.
+# A completed stage is forgotten by the strict rule when event time is this much further.
 TTL = timedelta(hours=24)
 _STATE = (
     "num_tasks: int, stage_name: string, started: bigint, done: bigint, stage_done: boolean, "
-    "last: bigint, seen: timestamp, done_ts: "
+    "last: bigint, last_ts: {0}, done_ts: {0}"
 )
 
 
@@ -60,15 +62,14 @@ def advance(
     before: DataFrame | None,
     batch: DataFrame,
     batch_id: int,
-    ttl: timedelta = TTL,
     hold: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
     """The stages known after a micro-batch of events, from those known before it.
 
     Events of stages known before all count.  For a stage first submitted in this
     batch, earlier events of the batch do not.  Events of other stages are dropped.
-    ``last`` in the result is the last batch that held an event of the stage.  ``hold``
-    may keep a frame that is read several times.
+    ``last`` in the result is the last batch that held an event of the stage, ``last_ts``
+    the latest time of one.  ``hold`` may keep a frame that is read several times.
     """
     stages, tasks = split_events(batch)
     time_type = batch.schema["ts"].dataType.simpleString()
@@ -76,9 +77,10 @@ def advance(
         first_submission().alias("first"),
         last_completion().alias("done_ts"),
         F.max(F.col("kind") == COMPLETED).alias("completed"),
+        F.max("ts").alias("at"),
     )
     if before is None:
-        merged = found.select("*", F.lit(None).cast(f"struct<{_STATE}{time_type}>").alias("old"))
+        merged = found.select("*", F.lit(None).cast(f"struct<{_STATE.format(time_type)}>").alias("old"))
     else:
         fields = [c for c in before.columns if c not in STAGE_KEY]
         merged = found.join(
@@ -96,11 +98,14 @@ def advance(
         (F.coalesce(old["stage_done"], F.lit(False)) | finished).alias("stage_done"),
         F.greatest(old["done_ts"], F.when(finished, F.col("done_ts"))).alias("done_ts"),
         F.col("completed").isNotNull().alias("touched"),
+        "at",
     )
     merged = hold(merged)
     in_scope = lookup_join(tasks, merged.select(*STAGE_KEY, "since"), STAGE_KEY)
     counted = in_scope.filter(F.col("since").isNull() | (F.col("ts") >= F.col("since")))
-    counts = task_counts(counted).withColumnsRenamed({"started": "more", "done": "ended"})
+    counts = counted.groupBy(*STAGE_KEY).agg(
+        started_count().alias("more"), done_count().alias("ended"), F.max("ts").alias("task_at")
+    )
     touched = F.col("touched") | F.col("more").isNotNull()
     zero = F.lit(0).cast("bigint")
     after = merged.join(counts, STAGE_KEY, "left").select(
@@ -112,9 +117,18 @@ def advance(
         "stage_done",
         "done_ts",
         F.when(touched, F.lit(batch_id)).otherwise(old["last"]).cast("bigint").alias("last"),
-        F.when(touched, F.current_timestamp()).otherwise(old["seen"]).alias("seen"),
+        F.greatest(old["last_ts"], "at", "task_at").alias("last_ts"),
     )
-    return after.filter(F.col("seen") > F.current_timestamp() - F.lit(ttl))
+    return after
+
+
+def remembered(known: DataFrame, ttl: timedelta = TTL) -> DataFrame:
+    """The known stages without those completed ``ttl`` before the latest event of any."""
+    latest = known.agg(F.max("last_ts")).first()[0]
+    if latest is None:
+        return known
+    old = F.col("stage_done") & (F.col("done_ts") < F.lit(latest - ttl))
+    return known.filter(~F.coalesce(old, F.lit(False)))
 
 
 def write_strict_progress(
@@ -134,11 +148,13 @@ def write_strict_progress(
             df.write.mode("overwrite").parquet(f"{path}/{name}")
             return read.parquet(f"{path}/{name}")
 
-        before = read.parquet(f"{path}/state/{(batch_id - 1) % 2}") if batch_id > 0 else None
+        before = None
+        if batch_id > 0:
+            before = remembered(read.parquet(f"{path}/state/{(batch_id - 1) % 2}"), ttl)
         # The batch is read again for stages and for tasks, each with the columns it needs.
-        after = advance(before, batch, batch_id, ttl, lambda df: rewrite(df, "known"))
+        after = advance(before, batch, batch_id, lambda df: rewrite(df, "known"))
         after = rewrite(after, f"state/{batch_id % 2}")
-        changed = after.filter(F.col("last") == batch_id).drop("last", "seen")
+        changed = after.filter(F.col("last") == batch_id).drop("last", "last_ts")
         rewrite(changed, f"rows/batch={batch_id}")
 
     return events.writeStream.foreachBatch(retrying(write, **retry))

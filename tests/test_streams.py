@@ -1,7 +1,6 @@
 import datetime
 
 import pytest
-from pyspark.sql import functions as F
 
 from runlens.operators.progress import active, split_events, stage_progress, with_labels
 from runlens.sources.sinks import print_lines
@@ -12,9 +11,11 @@ from runlens.streaming.progress import (
     advance,
     latest_progress,
     progress_updates,
+    remembered,
     write_strict_progress,
     write_updates,
 )
+from runlens.streaming.stagestate import PROVIDER, ROCKSDB, packed_events, rocksdb_state, stage_updates
 
 from test_progress import EVENTS, SCHEMA, at, counters, event
 
@@ -78,14 +79,85 @@ def test_strict_progress_drops_what_arrives_before_its_stage(spark, tmp_path):
     }
 
 
-def test_quiet_stages_are_forgotten(spark):
-    first = spark.createDataFrame([event("a", 1, "stage_submitted", 1, 3, "s")], SCHEMA)
-    known = advance(None, first, 0).withColumn("seen", F.lit(at(0)).cast("timestamp"))
-    late = spark.createDataFrame([event("b", 1, "stage_submitted", 1, 3, "s")], SCHEMA)
-    kept = advance(known, late, 1, ttl=datetime.timedelta(days=1))
-    assert [r["app_id"] for r in kept.collect()] == ["b"]
-    long = advance(known, late, 1, ttl=datetime.timedelta(days=36500))
-    assert sorted((r["app_id"], r["last"]) for r in long.collect()) == [("a", 0), ("b", 1)]
+def day(n, hour=0):
+    return datetime.datetime(2024, 1, 1) + datetime.timedelta(days=n, hours=hour)
+
+
+def on(app, stage, kind, ts, n=None, name=None):
+    made = event(app, stage, kind, 0, n, name)
+    return (*made[:3], ts, *made[4:])
+
+
+OUTAGE = [
+    [on("a", 1, "stage_submitted", day(0), 3, "runs"), on("a", 2, "stage_submitted", day(0), 1, "ends")],
+    [on("a", 2, "stage_completed", day(0, 1)), on("a", 1, "task_start", day(0, 1))],
+    # 25 hours of nothing, then another stage.
+    [on("b", 1, "stage_submitted", day(1, 2), 3, "later")],
+    # The running stage is still known, the completed one is not.
+    [on("a", 1, "task_end", day(1, 3)), on("a", 2, "task_start", day(1, 3))],
+    [on("a", 1, "task_start", day(0, 2)), on("b", 1, "task_start", day(1, 3))],
+    [on("a", 1, "stage_completed", day(9)), on("b", 1, "task_end", day(9))],
+    [on("b", 1, "task_end", day(12)), on("c", 1, "stage_submitted", day(12), 1, "new")],
+    [on("a", 1, "task_end", day(12))],
+]
+AFTER_OUTAGE = {
+    ("a", 1): ("runs", 3, 2, 1, True),
+    ("a", 2): ("ends", 1, 0, 0, True),
+    ("b", 1): ("later", 3, 1, 2, False),
+    ("c", 1): ("new", 1, 0, 0, False),
+}
+
+
+def test_running_stages_outlive_an_outage(spark, tmp_path):
+    assert strict(spark, tmp_path, OUTAGE) == AFTER_OUTAGE
+
+
+def test_completed_stages_are_forgotten_by_event_time(spark):
+    known = None
+    for i, rows in enumerate(OUTAGE[:3]):
+        known = advance(known, spark.createDataFrame(rows, SCHEMA).select(*FIELDS), i).cache()
+    assert sorted((r["app_id"], r["stage_id"]) for r in known.collect()) == [("a", 1), ("a", 2), ("b", 1)]
+    assert sorted((r["app_id"], r["stage_id"]) for r in remembered(known).collect()) == [("a", 1), ("b", 1)]
+    assert remembered(known, datetime.timedelta(days=2)).count() == 3
+    assert remembered(known.limit(0)).count() == 0
+
+
+def keyed(spark, tmp_path, batches, **options):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    for i, rows in enumerate(batches):
+        drop(spark, source, i, rows)
+        with rocksdb_state(spark):
+            run_available(write_updates(stage_updates(stream(spark, source), **options), out), str(tmp_path / "ck"))
+    return counters(latest_progress(spark, out))
+
+
+def test_keyed_state_over_many_batches_equals_the_batch_twin(spark, tmp_path):
+    """Events in order of time, a few a batch, with a restart before each batch."""
+    rows = sorted(EVENTS, key=lambda e: (e[3], e[2] != "stage_submitted"))
+    parts = [rows[i : i + 4] for i in range(0, len(rows), 4)]
+    assert len(parts) >= 5
+    batch = stage_progress(*split_events(spark.createDataFrame(EVENTS, SCHEMA)), ordered=True)
+    found = keyed(spark, tmp_path, parts, ttl=datetime.timedelta(days=1))
+    assert found == counters(batch) == strict(spark, tmp_path / "other", parts)
+    assert spark.conf.get(PROVIDER, None) != ROCKSDB
+
+
+def test_keyed_state_through_an_outage(spark, tmp_path):
+    assert keyed(spark, tmp_path, OUTAGE) == AFTER_OUTAGE
+
+
+def test_events_are_packed_where_they_are(spark):
+    rows = [on("a", 1, "task_start", day(0, h)) for h in range(9)] + [on("a", 1, "task_end", None)]
+    rows += [on("a", 1, "stage_submitted", day(0), 3, "s"), on("a", 1, "other", day(5)), on("a", None, "task_end", day(6))]
+    df = spark.createDataFrame(rows, SCHEMA).select(*FIELDS).coalesce(1)
+    packed = packed_events(df)
+    assert "Exchange" not in packed._jdf.queryExecution().executedPlan().toString()
+    found = packed.collect()
+    assert sorted((r["kind"], len(r["times"])) for r in found if r["kind"]) == [
+        ("stage_submitted", 1), ("task_end", 1), ("task_start", 9),
+    ]
+    assert [r["mark"] for r in found if r["mark"]] == [day(0, 8)]
+    assert packed_events(df.limit(0)).count() == 0
 
 
 class Failing:
