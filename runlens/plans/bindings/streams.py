@@ -47,7 +47,10 @@ def stream_stage_progress_strict(spark, folder):
 
 @query("stream_stage_state", ON_TIME_SQL)
 def stream_stage_state(spark, folder):
-    """Keyed state over five runs of the stream, each with a later part of the events."""
+    """Keyed state over five runs of the stream, each with a later part of the events.
+
+    Items may ship years after their order, so completed ones are not forgotten here.
+    """
     out = new_folder(spark, "stage-state")
     events = mixed_events(load(spark, folder, "orders"), load(spark, folder, "lineitem"))
     at = F.unix_micros(F.col("ts").cast("timestamp"))
@@ -60,7 +63,7 @@ def stream_stage_state(spark, folder):
         part.write.mode("append").parquet(f"{out}/in")
         arriving = spark.readStream.schema(events.schema).parquet(f"{out}/in")
         with rocksdb_state(spark):
-            changed = stage_updates(arriving, timedelta(days=60))
+            changed = stage_updates(arriving, timedelta(days=36500))
             run_available(write_updates(changed, f"{out}/rows"), f"{out}/checkpoint")
     return latest_progress(spark, f"{out}/rows").select(*COUNTERS)
 
