@@ -8,7 +8,7 @@ from runlens.operators.lines import text_lines
 from runlens.plans.bindings.lines import LINES_SQL
 from runlens.plans.bindings.registry import query
 from runlens.plans.bindings.stages import COUNTERS, ON_TIME_SQL, progress_sql
-from runlens.plans.staging import new_folder
+from runlens.plans.staging import new_folder, stage
 from runlens.plans.tables import load, load_stream, mixed_events
 from runlens.sources.sinks import write_lines
 from runlens.sources.tail import read_tail
@@ -45,14 +45,41 @@ def stream_stage_progress_strict(spark, folder):
     return latest_progress(spark, f"{out}/rows").select(*COUNTERS)
 
 
-@query("stream_stage_state", ON_TIME_SQL)
+@query(
+    "stream_stage_state",
+    """
+    WITH first AS (
+        SELECT o_custkey, min(o_orderdate) AS since,
+               min([o_orderdate::VARCHAR, lower(o_orderpriority)])[2] AS priority,
+               bool_or(o_orderstatus = 'F') AS stage_done
+        FROM orders GROUP BY o_custkey
+    )
+    SELECT 'app-' || (f.o_custkey % 8) AS app_id, f.o_custkey AS stage_id,
+           any_value(priority) || ' at customer ' || f.o_custkey AS stage_name,
+           (f.o_custkey % 8)::INT AS num_tasks,
+           count(*) FILTER (l_shipdate >= since) AS started,
+           count(*) FILTER (l_linestatus = 'F' AND l_shipdate + to_days(l_linenumber) >= since)
+               AS done,
+           any_value(stage_done) AS stage_done
+    FROM first f JOIN orders o ON o.o_custkey = f.o_custkey
+    LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY f.o_custkey
+    """,
+)
 def stream_stage_state(spark, folder):
     """Keyed state over five runs of the stream, each with a later part of the events.
 
-    Items may ship years after their order, so completed ones are not forgotten here.
+    A customer is a stage, submitted with the first order; items may ship years after an
+    order that completes it, so completed ones are not forgotten here.
     """
     out = new_folder(spark, "stage-state")
-    events = mixed_events(load(spark, folder, "orders"), load(spark, folder, "lineitem"))
+    orders = load(spark, folder, "orders")
+    owner = orders.select("o_orderkey", "o_custkey")
+    items = load(spark, folder, "lineitem").join(owner, F.col("l_orderkey") == F.col("o_orderkey"))
+    events = mixed_events(
+        orders.withColumn("o_orderkey", F.col("o_custkey")),
+        items.withColumn("l_orderkey", F.col("o_custkey")),
+    )
+    events = stage(events, "stage-events")
     at = F.unix_micros(F.col("ts").cast("timestamp"))
     cuts = events.agg(F.percentile_approx(at, [0.2, 0.4, 0.6, 0.8]).alias("c")).first()["c"]
     if cuts is None:  # no events at all
