@@ -12,7 +12,7 @@ from runlens.plans.staging import new_folder, stage
 from runlens.plans.tables import load, load_stream, mixed_events
 from runlens.sources.sinks import write_lines
 from runlens.sources.tail import read_tail
-from runlens.streaming.lifecycle import run_available
+from runlens.streaming.lifecycle import run_available, run_to_the_end
 from runlens.streaming.logs import line_messages, read_messages, ship
 from runlens.streaming.progress import (
     latest_progress,
@@ -95,18 +95,40 @@ def stream_stage_state(spark, folder):
     return latest_progress(spark, f"{out}/rows").select(*COUNTERS)
 
 
-@query(
-    "stream_log_tail",
-    f"""
+TAIL_SQL = f"""
     SELECT replace(value, 'the', '~') AS line, count(*) AS n, true AS bounded
     FROM ({LINES_SQL}) GROUP BY ALL
-    """,
-)
+    """
+
+
+@query("stream_log_tail", TAIL_SQL)
 def stream_log_tail(spark, folder):
     out = new_folder(spark, "tail")
     write_lines(text_lines(load(spark, folder, "documents"), []), f"{out}/logs")
     messages = line_messages(read_tail(spark, f"{out}/logs"), home="the")
     run_available(ship(messages, f"{out}/sent"), f"{out}/checkpoint")
+    return _sent_lines(spark, out)
+
+
+@query("stream_log_tail_budget", TAIL_SQL)
+def stream_log_tail_budget(spark, folder):
+    """The same in several runs, each a restart that takes a part of what is there."""
+    out = new_folder(spark, "tail-budget")
+    lines = text_lines(load(spark, folder, "documents"), [])
+    write_lines(lines, f"{out}/logs")
+    size = lines.agg(F.sum(F.octet_length("value") + 1)).first()[0] or 0
+
+    def writer():
+        tailed = read_tail(
+            spark, f"{out}/logs", max_bytes=size // 3 + 1, ledger=f"{out}/ledger"
+        )
+        return ship(line_messages(tailed, home="the"), f"{out}/sent")
+
+    run_to_the_end(writer, f"{out}/checkpoint")
+    return _sent_lines(spark, out)
+
+
+def _sent_lines(spark, out):
     sent = read_messages(spark, f"{out}/sent")
     rows = sent.select((F.size("data") <= 11).alias("fits"), F.explode("data").alias("line"))
     return rows.groupBy("line").agg(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 
@@ -52,3 +54,17 @@ def run_available(writer: DataStreamWriter, checkpoint: str) -> StreamingQuery:
     )
     query.awaitTermination()
     return query
+
+
+def run_to_the_end(writer: Callable[[], DataStreamWriter], checkpoint: str) -> int:
+    """Run again until a run reads nothing, for sources that stop at a budget; counts runs.
+
+    ``writer`` makes the same query each time; a file that grows all the while is followed
+    until it pauses.
+    """
+    runs = 0
+    while True:
+        query = run_available(writer(), checkpoint)
+        runs += 1
+        if not sum(p.numInputRows for p in query.recentProgress):
+            return runs
