@@ -22,19 +22,12 @@ FIRST_ID = 222223
 _PLACE_BITS = 33
 
 
-def with_position(
-    df: DataFrame,
-    group: Sequence[str],
-    order: Sequence[str],
-    name: str = "position",
-) -> DataFrame:
-    """Add the 0-based position of each row in its group, ordered by ``order``.
+def range_laid(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """The rows, range-partitioned and sorted by ``keys``, written once.
 
-    Rows that tie get different positions in no particular order.  Null group keys
-    form a group of their own.  Costs one range shuffle and one written table; with
-    neither group nor order, rows stay where they are and only the table is written.
+    Adds ``_part``, the number of the partition, and ``_at``, which ascends with the order
+    of all rows of a partition and with the partitions.
     """
-    keys = [*group, *order]
     laid = df
     if keys:
         # Rows with equal keys are told apart by what they hold and where they come
@@ -49,7 +42,22 @@ def with_position(
     laid = laid.withColumn("_at", F.monotonically_increasing_id()).withColumn(
         "_part", F.shiftright("_at", _PLACE_BITS)
     )
-    laid = stage(laid, "positions")
+    return stage(laid, name)
+
+
+def with_position(
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[str],
+    name: str = "position",
+) -> DataFrame:
+    """Add the 0-based position of each row in its group, ordered by ``order``.
+
+    Rows that tie get different positions in no particular order.  Null group keys
+    form a group of their own.  Costs one range shuffle and one written table; with
+    neither group nor order, rows stay where they are and only the table is written.
+    """
+    laid = range_laid(df, [*group, *order], "positions")
     # One row per group and partition: far fewer than the rows, and a group has at
     # most one per partition, so the window below is small whatever the skew.
     heads = laid.groupBy(*group, "_part").agg(
