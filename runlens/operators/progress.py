@@ -123,6 +123,42 @@ def stage_progress(
     )
 
 
+def event_progress(events: DataFrame) -> DataFrame:
+    """:func:`stage_progress` of one mixed frame that is read once.
+
+    Events are counted by stage and kind first, stage events by their fields too, in
+    buffers of one number, so task events are never sorted; what is left is a few rows per
+    stage.
+    """
+    of_stage = F.col("kind").isin(SUBMITTED, COMPLETED)
+    fields = [F.when(of_stage, F.col(c)).alias(c) for c in ("ts", "num_tasks", "stage_name")]
+    rows = events.filter(of_stage | F.col("kind").isin(TASK_START, TASK_END))
+    few = rows.groupBy(*STAGE_KEY, "kind", *fields).agg(F.count(F.lit(1)).alias("n"))
+    zero = F.lit(0).cast("bigint")
+
+    def counted(kind: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("n"))), zero)
+
+    found = few.groupBy(*STAGE_KEY).agg(
+        first_submission().alias("first"),
+        counted(TASK_START).alias("started"),
+        counted(TASK_END).alias("done"),
+        F.max(F.col("kind") == COMPLETED).alias("stage_done"),
+        # As in known_stages: the last event of the stage, if its completion has no time.
+        F.coalesce(last_completion(), F.max("ts")).alias("done_ts"),
+    )
+    return found.filter(F.col("first").isNotNull()).select(
+        *STAGE_KEY,
+        F.col("first.stage_name").alias("stage_name"),
+        F.col("first.num_tasks").alias("num_tasks"),
+        "started",
+        "done",
+        "stage_done",
+        F.col("first.ts").alias("submitted_ts"),
+        F.when(F.col("stage_done"), F.col("done_ts")).alias("done_ts"),
+    )
+
+
 def split_events(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Stage events and task events of one mixed frame."""
     return (

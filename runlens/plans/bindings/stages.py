@@ -5,7 +5,14 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from runlens.functions.stages import call_site, stage_action, stage_title_html
-from runlens.operators.progress import TASK_END, TASK_START, active, stage_progress, with_labels
+from runlens.operators.progress import (
+    TASK_END,
+    TASK_START,
+    active,
+    event_progress,
+    stage_progress,
+    with_labels,
+)
 from runlens.operators.requests import answer_requests, decode_requests, known_ids
 from runlens.plans.bindings.registry import joined, query
 from runlens.plans.staging import new_folder
@@ -17,6 +24,7 @@ from runlens.plans.tables import (
     order_events,
 )
 from runlens.sources.eventlog import read_event_log, stage_events, task_events
+from runlens.sources.packedlog import read_packed_log, run_events, write_packed_log
 
 COUNTERS = ["app_id", "stage_id", "stage_name", "num_tasks", "started", "done", "stage_done"]
 NOW = datetime(1998, 1, 1)
@@ -187,6 +195,15 @@ def event_log_progress(spark, folder):
     return found.withColumn("stage_id", F.col("stage_id").cast("bigint")).select(*COUNTERS)
 
 
+@query("event_log_packed", progress_sql())
+def event_log_packed(spark, folder):
+    """The same logs compressed, read in one scan."""
+    path = new_folder(spark, "packedlog")
+    lines = event_log_lines(load(spark, folder, "orders"), load(spark, folder, "lineitem"))
+    write_packed_log(lines, path)
+    return event_progress(run_events(read_packed_log(spark, path))).select(*COUNTERS)
+
+
 @query(
     "cancel_requests",
     """
