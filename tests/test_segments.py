@@ -1,0 +1,107 @@
+"""Pairwise combination of whole columns against plain folds."""
+
+import math
+import random
+from functools import reduce
+from itertools import groupby
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import pytest
+
+from runlens.operators import segments
+from runlens.operators.segments import combine_columns, reduce_segments
+
+
+def _joined():
+    """Not commutative: text in order, and a sum; local, so that workers get it by value."""
+
+    def plus(a, b):
+        return pa.table({"s": pc.binary_join_element_wise(a["s"], b["s"], ""), "n": pc.add(a["n"], b["n"])})
+
+    return plus
+
+
+joined = _joined()
+
+
+def rows_of(n, seed):
+    rng = random.Random(seed)
+    return [(rng.choice(["hot", "hot", "hot", "b", None, f"k{i % 40}"]), i, chr(97 + i % 26), i) for i in range(n)]
+
+
+def plain(rows):
+    out = []
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1]))
+    for key, own in groupby(rows, key=lambda r: r[0]):
+        s, n = reduce(lambda a, b: (a[0] + b[0], a[1] + b[1]), ((r[2], r[3]) for r in own))
+        out.append((str(key), s, n))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("batch, partials", [(1 << 17, 1 << 18), (7, 3)])
+def test_ordered(spark, monkeypatch, batch, partials):
+    monkeypatch.setattr(segments, "BATCH_ROWS", batch)
+    monkeypatch.setattr(segments, "MAX_PARTIALS", partials)
+    rows = rows_of(500, 1)
+    df = spark.createDataFrame(rows, "k string, i long, s string, n long").repartition(5)
+    found = combine_columns(df, ["k"], ["s", "n"], joined, order=["i"])
+    assert found.columns == ["k", "s", "n"]
+    assert sorted((str(r["k"]), r["s"], r["n"]) for r in found.collect()) == plain(rows)
+
+
+@pytest.mark.parametrize("batch, partials", [(1 << 17, 1 << 18), (7, 3)])
+def test_any_order(spark, monkeypatch, batch, partials):
+    monkeypatch.setattr(segments, "BATCH_ROWS", batch)
+    monkeypatch.setattr(segments, "MAX_PARTIALS", partials)
+    rows = rows_of(500, 2)
+    df = spark.createDataFrame(rows, "k string, i long, s string, n long").repartition(5)
+    add = lambda a, b: pa.table({"n": pc.add(a["n"], b["n"])})
+    found = combine_columns(df, ["k"], ["n"], add).collect()
+    assert sorted((str(r["k"]), r["n"]) for r in found) == [(k, n) for k, _, n in plain(rows)]
+    whole = combine_columns(df, [], ["n"], add).collect()
+    assert [r["n"] for r in whole] == [sum(range(500))]
+    assert combine_columns(df.limit(0), ["k"], ["n"], add).count() == 0
+
+
+@pytest.mark.parametrize("sizes", [[1], [1, 1, 1], [1000], [5, 1, 8, 3, 1, 16, 7], [2] * 300])
+def test_calls_grow_with_the_logarithm(sizes):
+    calls = []
+
+    def plus(a, b):
+        calls.append(a.num_rows)
+        return joined(a, b)
+
+    n = sum(sizes)
+    table = pa.table({"s": [chr(97 + i % 26) for i in range(n)], "n": list(range(n))})
+    starts = np.cumsum([0, *sizes[:-1]])
+    got = reduce_segments(table, starts, plus)
+    text = "".join(table["s"].to_pylist())
+    assert got["s"].to_pylist() == [text[a : a + s] for a, s in zip(starts, sizes)]
+    assert len(calls) == math.ceil(math.log2(max(sizes)))
+
+
+def test_distinct_keys_cost_about_what_few_do():
+    """The number of keys does not matter: halving works on all of them together."""
+    from time import perf_counter
+
+    n = 1 << 17
+    table = pa.table({"n": np.arange(n)})
+    add = lambda a, b: pa.table({"n": pc.add(a["n"], b["n"])})
+    times = []
+    for size in (n, 2):
+        starts = np.arange(0, n, size)
+        best = math.inf
+        for _ in range(3):
+            begin = perf_counter()
+            reduce_segments(table, starts, add)
+            best = min(best, perf_counter() - begin)
+        times.append(best)
+    assert times[1] < 2 * times[0] + 0.05
+
+
+def test_plus_must_give_a_row_for_each():
+    table = pa.table({"n": [1, 2]})
+    with pytest.raises(ValueError, match="plus"):
+        reduce_segments(table, np.array([0]), lambda a, b: a.slice(0, 0))
