@@ -12,6 +12,7 @@ from runlens.plans.staging import new_folder, stage
 from runlens.plans.tables import load, load_stream, mixed_events
 from runlens.sources.sinks import write_lines
 from runlens.sources.tail import read_tail
+from runlens.streaming.changelog import latest_changes, write_changes
 from runlens.streaming.lifecycle import run_available, run_to_the_end
 from runlens.streaming.logs import line_messages, read_messages, ship
 from runlens.streaming.progress import (
@@ -20,6 +21,7 @@ from runlens.streaming.progress import (
     write_strict_progress,
     write_updates,
 )
+from runlens.streaming.sessions import bursts
 from runlens.streaming.stagestate import rocksdb_state, stage_updates
 
 
@@ -134,3 +136,40 @@ def _sent_lines(spark, out):
     return rows.groupBy("line").agg(
         F.count(F.lit(1)).alias("n"), F.bool_and("fits").alias("bounded")
     )
+
+
+@query("stream_progress_compacted", progress_sql())
+def stream_progress_compacted(spark, folder):
+    """Six micro-batches into a change log that merges two segments of a level."""
+    out = new_folder(spark, "changelog")
+    events = mixed_events(load(spark, folder, "orders"), load(spark, folder, "lineitem"))
+    events.repartition(6, "stage_id").write.parquet(f"{out}/in")
+    arriving = (
+        spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/in")
+    )
+    run_available(write_changes(progress_updates(arriving), f"{out}/log", fanout=2), f"{out}/checkpoint")
+    return latest_changes(spark, f"{out}/log").select(*COUNTERS)
+
+
+@query(
+    "stream_bursts",
+    """
+    WITH steps AS (
+        SELECT user_id, ts, CASE WHEN ts > lag(ts) OVER w + INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS fresh
+        FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+    islands AS (SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts) AS i FROM steps),
+    found AS (SELECT user_id, min(ts) AS first, max(ts) AS last, count(*) AS n
+              FROM islands GROUP BY user_id, i)
+    SELECT user_id, first, last, n FROM found
+    WHERE last + INTERVAL 30 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE
+    """,
+)
+def stream_bursts(spark, folder):
+    """Bursts of a user's events that are over when the stream has read all of them."""
+    out = new_folder(spark, "bursts")
+    found = bursts(load_stream(spark, folder, "events"), ["user_id"], "ts", "30 minutes", "10 minutes")
+    run_available(
+        found.writeStream.format("parquet").option("path", f"{out}/rows").outputMode("append"),
+        f"{out}/checkpoint",
+    )
+    return spark.read.schema(found.schema).parquet(f"{out}/rows")

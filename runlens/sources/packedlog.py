@@ -100,6 +100,12 @@ def find_logs(path: str) -> list[_Log]:
     return found
 
 
+def applications_ended(path: str) -> bool:
+    """Whether there are logs at or below a path and all of their applications have ended."""
+    logs = find_logs(path)
+    return bool(logs) and not any(log.open for log in logs)
+
+
 def _ranges(log: _Log, split: int) -> Iterator[LogRange]:
     if log.codec not in ("", "zstd"):
         raise ValueError(f"{log.path} is compressed with {log.codec}; zstd and plain logs can be read")

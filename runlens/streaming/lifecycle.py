@@ -18,6 +18,10 @@ class Runner:
     ``every`` is the pause between micro-batches, as soon as possible if not given.
     ``enabled=False`` makes :meth:`start` do nothing.  A stopped runner stays stopped;
     a new one with the same checkpoint continues where it left off.
+
+    ``ended`` says whether what the query follows has come to its end, as
+    :func:`runlens.sources.packedlog.applications_ended` does for event logs; with it
+    :meth:`run` stops by itself.
     """
 
     def __init__(
@@ -26,11 +30,13 @@ class Runner:
         checkpoint: str,
         every: str | None = None,
         enabled: bool = True,
+        ended: Callable[[], bool] | None = None,
     ):
         self.writer = writer.option("checkpointLocation", checkpoint)
         if every is not None:
             self.writer = self.writer.trigger(processingTime=every)
         self.enabled = enabled
+        self.ended = ended
         self.query: StreamingQuery | None = None
         self.stopped = False
 
@@ -46,6 +52,21 @@ class Runner:
         if self.query is not None:
             self.query.stop()
 
+    def run(self, pause: float = 2.0) -> None:
+        """Start, and stop once the end has come and all before it is written.
+
+        What fails the query is raised here.  Ends at once where progress is off.
+        """
+        query = self.start()
+        if query is None:
+            return
+        while not query.awaitTermination(pause):
+            # The end is the last thing written, so all of the rest is there by then.
+            if self.ended is not None and self.ended():
+                query.processAllAvailable()
+                self.stop()
+                return
+
 
 def run_available(writer: DataStreamWriter, checkpoint: str) -> StreamingQuery:
     """Process what is there now, then stop."""
