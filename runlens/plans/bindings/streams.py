@@ -10,6 +10,7 @@ from runlens.plans.bindings.registry import query
 from runlens.plans.bindings.stages import COUNTERS, ON_TIME_SQL, progress_sql
 from runlens.plans.staging import new_folder, stage
 from runlens.plans.tables import load, load_stream, mixed_events
+from runlens.sources.committed import read_committed, write_committed
 from runlens.sources.sinks import write_lines
 from runlens.sources.tail import read_tail
 from runlens.streaming.changelog import latest_changes, write_changes
@@ -173,3 +174,19 @@ def stream_bursts(spark, folder):
         f"{out}/checkpoint",
     )
     return spark.read.schema(found.schema).parquet(f"{out}/rows")
+
+
+@query(
+    "stream_committed_messages",
+    """
+    SELECT event_id, event_type, user_id FROM events
+    """,
+)
+def stream_committed_messages(spark, folder):
+    """Events as messages through the sink with two-phase commit."""
+    out = new_folder(spark, "committed")
+    events = load_stream(spark, folder, "events")
+    message = F.to_json(F.struct("event_id", "event_type", "user_id"))
+    run_available(write_committed(events.select(message.alias("value")), f"{out}/sent"), f"{out}/checkpoint")
+    fields = "event_id BIGINT, event_type STRING, user_id BIGINT"
+    return read_committed(spark, f"{out}/sent").select(F.from_json("value", fields).alias("m")).select("m.*")
