@@ -13,7 +13,8 @@ Words are runs of ASCII letters (lower-cased), digits and all other characters b
 ASCII.  Items or documents shorter than a shingle count as one shingle of all their words;
 null and empty ones match nothing.  Repeated rows are judged alike, each on its own; a
 tie between windows goes to the first.  Without items or without rows nothing is found.
-Rows carry the id of the document; further columns are not looked at.
+Rows carry the id of the document; further columns are not looked at.  Texts of any length
+are read whole, one at a time where they are long.
 """
 
 from __future__ import annotations
@@ -255,30 +256,68 @@ def find_leaks(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"),
         F.col(f"`{text_col}`").cast("string").alias("text"),
     )
-    passes: list[DataFrame] = []
-    block: list = []
+    passes = [source.mapInArrow(run, FOUND) for run in _finders(items, radius, least)]
+    result = passes[0]
+    for part in passes[1:]:
+        result = result.unionByName(part)
+    return result
+
+
+def _finders(items: DataFrame, radius: int, least: float) -> list:
+    """A finder for every ``ITEMS_A_PASS`` items, one at least."""
+    finders, block = [], []
 
     def add() -> None:
-        run = _finder([r["item_id"] for r in block], [r["text"] for r in block], radius, least)
-        passes.append(source.mapInArrow(run, FOUND))
+        texts = [r["text"] for r in block]
+        finders.append(_finder([r["item_id"] for r in block], texts, radius, least))
 
     for row in items.select("item_id", "text").toLocalIterator():
         block.append(row)
         if len(block) == ITEMS_A_PASS:
             add()
             block = []
-    if block or not passes:
+    if block or not finders:
         add()
-    result = passes[0]
-    for part in passes[1:]:
-        result = result.unionByName(part)
-    return result
+    return finders
+
+
+def _keeper(run, at: int):
+    """Rows in whose text nothing is found; ``run`` gives a batch for each batch."""
 
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
 
-def without_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The documents in which no passage like an item is found, columns as they are."""
-    found = find_leaks(docs, items, id_col).select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(found, id_col, "left_anti").select(*(f"`{c}`" for c in docs.columns))
+        def texts() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                held.append(batch)
+                row = pa.array(np.arange(batch.num_rows))
+                yield pa.RecordBatch.from_arrays([row, batch.column(at).cast(pa.string())], names=["doc_id", "text"])
+
+        for found in run(texts()):
+            batch = held.pop()
+            clean = np.ones(batch.num_rows, bool)
+            clean[found.column(0).to_numpy()] = False
+            yield batch.filter(pa.array(clean))
+
+    return keep
+
+
+def without_leaks(
+    docs: DataFrame,
+    items: DataFrame,
+    text_col: str = "text",
+    least: float = SIMILARITY,
+    radius: int = RADIUS,
+) -> DataFrame:
+    """The documents in which no passage like an item is found, columns as they are.
+
+    Every row is judged by its own text, whatever its id: rows without an id, and rows
+    that share one with a leaking row, stay if they are clean.  No join and no shuffle.
+    """
+    at = docs.columns.index(text_col)
+    for run in _finders(items, radius, least):
+        docs = docs.mapInArrow(_keeper(run, at), docs.schema)
+    return docs
 
 
 @query("op1_decontaminate")

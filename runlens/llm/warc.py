@@ -21,11 +21,11 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from runlens.llm.registry import query
-from runlens.llm.shared import load, new_folder
+from runlens.llm.shared import file_system, load, new_folder
+from runlens.operators.skew import lookup_join
 
 # Fixed values of the formats.
 SKIPPABLE = 0x184D2A5D
@@ -118,7 +118,7 @@ class Archive:
 
     def _start(self) -> None:
         dictionary = build_dictionary(self.held)
-        system, path = fs.FileSystem.from_uri(self.path)
+        system, path = file_system(self.path)
         self.out = system.open_output_stream(path, compression=None)
         content = dictionary.as_bytes()
         self._put(struct.pack("<II", SKIPPABLE, len(content)) + content)
@@ -185,7 +185,7 @@ def write_archives(pages: DataFrame, folder: str, min_revisit_bytes: int = 0) ->
         F.sha1(html.cast("binary")).alias("sha"),
         F.octet_length(html).alias("size"),
     )
-    shared = (
+    copies = (
         sizes.filter(F.col("size") >= min_revisit_bytes)
         .groupBy("sha")
         .agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("copies"))
@@ -193,7 +193,10 @@ def write_archives(pages: DataFrame, folder: str, min_revisit_bytes: int = 0) ->
         .drop("copies")
     )
     revisit = F.col("refers_to").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("refers_to"))
-    found = rows.join(shared, "sha", "left").select(
+    copies.write.parquet(f"{folder}/copies")
+    shared = spark.read.schema(copies.schema).parquet(f"{folder}/copies")
+    # Payloads stay where they are read as long as the repeated digests are few enough.
+    found = lookup_join(rows, shared, ["sha"], "left").select(
         "page_id", "url", "html", "sha", "refers_to", revisit.alias("revisit")
     )
     found.mapInArrow(_writer(root), MANIFEST).write.parquet(f"{folder}/manifest")
@@ -202,7 +205,7 @@ def write_archives(pages: DataFrame, folder: str, min_revisit_bytes: int = 0) ->
 
 def frames(path: str) -> Iterator[bytes]:
     """The records of an archive in turn, reading it piece by piece."""
-    system, name = fs.FileSystem.from_uri(path)
+    system, name = file_system(path)
     with system.open_input_stream(name, compression=None) as source:
         magic, size = struct.unpack("<II", source.read(8))
         if magic != SKIPPABLE:

@@ -77,6 +77,21 @@ def test_clean_documents_stay(spark):
     assert kept.filter("doc_id < 20").count() == len(cases.ROWS)
 
 
+@pytest.mark.parametrize("a_pass", [1000, 1])
+def test_rows_are_judged_by_their_own_text(spark, monkeypatch, a_pass):
+    """A leaking text without an id goes; a clean text with a leaking row's id stays."""
+    monkeypatch.setattr(decontaminate, "ITEMS_A_PASS", a_pass)
+    items = [(1, cases.prose(50, 40)), (2, cases.prose(51, 30)), (3, None)]
+    long = f"{cases.LONG} {cases.prose(51, 30)} {cases.LONG}"
+    rows = [(None, f"before {items[0][1]} after", None, None), (None, cases.prose(70, 50), None, None)]
+    rows += [(2, items[1][1], None, None), (2, cases.prose(71, 50), None, None), (3, None, None, None), (4, long, None, None), (5, cases.LONG, None, None)]
+    kept = without_leaks(cases.frame(spark, rows, extra=True), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted((str(r["doc_id"]), r["text"] or "") for r in kept.collect()) == sorted(
+        (str(d), t or "") for d, t, *_ in (rows[1], rows[3], rows[4], rows[6])
+    )
+    assert "Join" not in kept._jdf.queryExecution().executedPlan().toString()
+
+
 def test_no_items_no_rows(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert find_leaks(cases.frame(spark), none).count() == 0

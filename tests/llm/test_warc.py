@@ -78,3 +78,31 @@ def test_a_changed_payload_is_noticed():
     assert parse(raw)[1] == 3
     with pytest.raises(ValueError):
         parse(raw.replace(b"\r\n\r\nabc", b"\r\n\r\nabd"))
+
+
+def test_paths_of_object_stores():
+    """Spark's s3a is Arrow's s3; other schemes stay."""
+    from pyarrow import fs
+
+    from runlens.llm.shared import file_system
+
+    system, path = file_system("file:///tmp/x")
+    assert isinstance(system, fs.LocalFileSystem) and path == "/tmp/x"
+    try:
+        system, path = file_system("s3a://bucket/x?region=us-east-1")
+    except (OSError, NotImplementedError):  # no network or no such support: the scheme was understood
+        return
+    assert path == "bucket/x" and type(system).__name__ == "S3FileSystem"
+
+
+def test_payloads_are_not_shuffled(spark, tmp_path):
+    """Repeated digests within the bound are broadcast: the writing task reads the pages."""
+    from runlens.llm import shared
+
+    before = spark.conf.get(shared.SETTING, None)
+    pages = spark.createDataFrame([(i, "u", f"page {i % 7}") for i in range(50)], "page_id long, url string, html string")
+    archives = write_archives(pages, shared.new_folder(spark, "warc"))
+    found = {r["page_id"]: (r["record_type"], r["refers_to"]) for r in read_archives(archives).collect()}
+    top = {k: max(i for i in range(50) if i % 7 == k) for k in range(7)}
+    assert found == {i: ("response", None) if top[i % 7] == i else ("revisit", top[i % 7]) for i in range(50)}
+    assert spark.conf.get(shared.SETTING, None) == before
