@@ -3,7 +3,8 @@
 Generous generators propose spans that overlap.  Trees see a candidate's format and the
 words around it, but neither what proposed it nor the checks by which fixed patterns pass
 or fail (check digits, a leading plus), so what they learn carries over to candidates that
-no fixed pattern takes: a phone number without its plus, an address spelled out.
+no fixed pattern takes: a phone number without its plus, an address spelled out.  Every
+confirmed address is shown to them spelled out as well.
 They are fitted on a bounded sample of candidates (``SAMPLE``, the same for each kind,
 chosen by hash, equal texts once): those that fixed patterns found are the positives, the
 other number groups the negatives.  For each kind a threshold is set by the share that fixed
@@ -86,6 +87,14 @@ _CONTEXT = {
     "other": re.compile(r"order|invoice|isbn|issn|version|\bno\b|page|date|id\b|ref|#|§|\$|€", re.I),
 }
 _BEFORE, _AFTER = 40, 20
+
+#: Ways to spell out an address, for what the trees learn, and how they are recognised.
+SPELLINGS = ((" at ", " dot "), ("(at)", "(dot)"), (" [at] ", " [dot] "), (" at ", "."))
+SPELLED_AT = re.compile(r"\(at\)|\[at\]| at ")
+SPELLED_DOT = re.compile(r"\(dot\)|\[dot\]| dot ")
+#: What nobody writes but to spell out an address: such candidates are unlabelled, not wrong.
+BRACKETS = re.compile(r"\((?:at|dot)\)|\[(?:at|dot)\]")
+WORDS = re.compile(r"[A-Za-z0-9._%+-]+")
 #: Candidates of a text that the trees judge at once.
 _TOGETHER = 1 << 14
 
@@ -140,10 +149,14 @@ def features(text: str, start: int, end: int) -> list[float]:
     body = text[start:end]
     if text[max(0, start - 1) : start] == "+":
         body = COUNTRY.sub("", body)
+    return _described(body, text[max(0, start - _BEFORE) : start], text[end : end + _AFTER])
+
+
+def _described(body: str, before: str, after: str) -> list[float]:
     digits = _digits(body)
     groups = [len(g) for g in re.findall(r"[0-9]+", body)]
-    before = text[max(0, start - _BEFORE) : start].rstrip("+")
-    after = text[end : end + _AFTER]
+    before = before.rstrip("+")
+    words = WORDS.findall(body)
     return [
         len(body),
         len(digits),
@@ -166,9 +179,23 @@ def features(text: str, start: int, end: int) -> list[float]:
         float(before[-1:].isspace() or not before),
         float(after[:1] in {".", ",", ";", ")"}),
         *(float(p.search(before) is not None) for p in _CONTEXT.values()),
+        # Of an address: what is spelled out, the last part of the domain, the local part.
+        len(SPELLED_AT.findall(body)),
+        len(SPELLED_DOT.findall(body)),
+        len(words[-1]) if words else 0,
+        float(bool(words) and words[-1].islower()),
+        len(words[0]) if words else 0,
+        float(bool(words) and any(c in "._%+-" or c.isdigit() for c in words[0])),
     ]
 
 
+def spelled_out(address: str, turn: int) -> str:
+    """An address as people write it against robots, in one of ``SPELLINGS``."""
+    at, dot = SPELLINGS[turn % len(SPELLINGS)]
+    local, _, domain = address.partition("@")
+    return local + at + domain.replace(".", dot)
+
+
 def proposals(text: str) -> list[tuple[str, int, int]]:
     """Candidate spans of all generators, overlapping ones too."""
     found = [("email", s, e) for s, e in addresses(text, SIGN, SPELLED)]
@@ -176,7 +203,11 @@ def proposals(text: str) -> list[tuple[str, int, int]]:
 
 
 def examples(text: str) -> Iterator[tuple[str, list[float], bool]]:
-    """Candidates with their features; positive where a base span has that place."""
+    """Candidates with their features; positive where a base span has that place.
+
+    A confirmed address comes once more, spelled out at its place; a candidate that is
+    surely spelled out has no label and is left out.
+    """
     base = base_spans(text)
     free = Taken(base).free
     # Spans of one kind are apart and ascend, so one at most can hold a candidate.
@@ -185,8 +216,12 @@ def examples(text: str) -> Iterator[tuple[str, list[float], bool]]:
         at = bisect_right(own[kind], (start, len(text)))
         low, high = own[kind][at - 1] if at else (0, 0)
         same = end <= high and high - low - (end - start) <= 3
-        if same or free(start, end):
-            yield kind, features(text, start, end), same
+        if not same and (not free(start, end) or BRACKETS.search(text, start, end)):
+            continue
+        yield kind, features(text, start, end), same
+        if same and kind == "email":
+            body = spelled_out(text[start:end], start)
+            yield kind, _described(body, text[max(0, start - _BEFORE) : start], text[end : end + _AFTER]), True
 
 
 @dataclass

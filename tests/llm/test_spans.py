@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 
 from runlens.llm import boosting
-from runlens.llm.pii import AT, DOMAIN, KINDS as PII_KINDS, SIGN, SPELLED, _hinted, addresses, base_spans, examples, features, fit_model, pii_spans, proposals, scan_pii
+from runlens.llm.pii import AT, DOMAIN, KINDS as PII_KINDS, SIGN, SPELLED, _hinted, addresses, base_spans, examples, features, fit_model, pii_spans, proposals, scan_pii, spelled_out
 from runlens.llm.secrets import KINDS, encoding, redact_secrets, scan_secrets, secret_spans
 from runlens.llm.spans import add_spans, cut_out, joined
 
@@ -259,7 +259,10 @@ def test_long_texts_full_of_spans():
     shapes = [lambda: f"+1 ({num(3)}) {num(3)}-{num(4)}", lambda: f"{num(2)}.{num(2)}.{num(2)}.{num(2)}", lambda: num(16), lambda: "a.b@c.de", lambda: f"{num(3)} {num(4)}"]
     text = " ".join(rng.choice(shapes)() for _ in range(300))
     short = [(k, f, y) for k, f, y in examples(text)]
-    assert short == [(k, features(text, s, e), y) for k, s, e, y in plain_examples(text)]
+    plain = [(k, features(text, s, e), y) for k, s, e, y in plain_examples(text)]
+    # Confirmed addresses come once more, spelled out.
+    assert [e for e in short if e in plain] == plain
+    assert len(short) == len(plain) + sum(k == "email" and y for k, _, y in plain)
 
     class All:
         def accept(self, found):
@@ -293,3 +296,29 @@ def test_redaction_of_a_long_text(spark):
     rows = [(1, f"{cases.LONG} {RANDOM_KEY} {cases.LONG}", None, None)]
     text = redact_secrets(cases.frame(spark, rows), PATH).first()["text"]
     assert text == f"{cases.LONG} [SECRET] {cases.LONG}"
+
+
+def mails(n, spelled):
+    """Texts with an address, a share of them spelled out; all hold sentences with "at"."""
+    rng, rows = random.Random(11), []
+    for i in range(n):
+        local = rng.choice(["jane.doe", "j_smith", "info", "mark77", "ann-lee"]) + str(i % 7)
+        domain = rng.choice(["mail.com", "example.org", "uni-x.edu", "shop.co.uk"])
+        address = f"{local}@{domain}"
+        if i % spelled == 0:
+            address = spelled_out(address, i // spelled)
+        text = f"{cases.prose(i, 15)} look at home. The rest {cases.prose(i + 1, 5)} write to {address} soon, order {i * 37 % 9000 + 1000}/{i % 50}."
+        rows.append((2000 + i, f"{text} we met at noon. Then all went", None, None))
+    return rows
+
+
+def test_trees_find_addresses_that_are_spelled_out(spark):
+    rows = mails(600, 4)
+    model = fit_model(cases.frame(spark, rows))
+    found = wrong = 0
+    for i, (_, text, _, _) in enumerate(rows):
+        added = [text[s:e] for k, s, e, base in pii_spans(text, model) if not base and k == "more_email"]
+        if i % 4 == 0:
+            found += any(re.search(r"soon", text[text.index(a) + len(a) :][:6]) is not None for a in added)
+        wrong += any("home" in a or "noon" in a for a in added)
+    assert found >= 135 and wrong <= 6
