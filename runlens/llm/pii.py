@@ -7,8 +7,8 @@ no fixed pattern takes: a phone number without its plus, an address spelled out.
 confirmed address is shown to them spelled out as well.
 They are fitted on a bounded sample of candidates (``SAMPLE``, the same for each kind,
 chosen by hash, equal texts once): those that fixed patterns found are the positives, the
-other number groups the negatives.  For each kind a threshold is set by the share that fixed
-patterns confirm among all candidates of all texts, counted by bins of their score.
+other number groups the negatives.  For each kind a threshold is set by what fixed patterns
+confirm among all candidates of all texts, counted by bins of their score.
 
 Null and empty texts have no spans; repeated rows are scanned alike; other columns pass
 through; a column that is already called ``spans`` is replaced; an empty table stays so.
@@ -45,6 +45,9 @@ KINDS = (*BASE_KINDS, "more_email", "more_ip", "more_card", "more_phone")
 SAMPLE = 20_000
 LEAST = 50
 PRECISION = 0.85
+#: Share of a kind's confirmed candidates beyond its threshold: no lower than these need it,
+#: so that what scores worse than confirmed ones do is not let in.
+RECALL = 0.98
 
 #: Lower ends of the score bins that thresholds are set on: logits from -30 to 30.
 EDGES = 1 / (1 + np.exp(-np.linspace(-30, 30, 3001)))
@@ -182,6 +185,7 @@ def _described(body: str, before: str, after: str) -> list[float]:
         # Of an address: what is spelled out, the last part of the domain, the local part.
         len(SPELLED_AT.findall(body)),
         len(SPELLED_DOT.findall(body)),
+        body.count(". "),
         len(words[-1]) if words else 0,
         float(bool(words) and words[-1].islower()),
         len(words[0]) if words else 0,
@@ -328,10 +332,15 @@ def _bins(p: np.ndarray) -> np.ndarray:
 
 
 def _limit(right: np.ndarray, n: np.ndarray) -> float:
-    """The lowest edge from which on the wanted share is confirmed; inf if none is."""
+    """The highest edge beyond which the wanted share of the confirmed lies, or, if higher,
+    the lowest one beyond which the wanted share is confirmed; inf if there is none."""
     above = np.cumsum(n[::-1])[::-1]
-    good = (n > 0) & (np.cumsum(right[::-1])[::-1] >= PRECISION * above)
-    return float(EDGES[np.argmax(good)]) if good.any() else float("inf")
+    confirmed = np.cumsum(right[::-1])[::-1]
+    good = (n > 0) & (confirmed >= PRECISION * above) & (confirmed > 0)
+    if not good.any():
+        return float("inf")
+    needed = np.flatnonzero(confirmed >= RECALL * confirmed[0])[-1]
+    return float(EDGES[max(np.argmax(good), needed)])
 
 
 def fit_model(df: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Model | None:
