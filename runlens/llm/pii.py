@@ -95,8 +95,9 @@ _BEFORE, _AFTER = 40, 20
 SPELLINGS = ((" at ", " dot "), ("(at)", "(dot)"), (" [at] ", " [dot] "), (" at ", "."))
 SPELLED_AT = re.compile(r"\(at\)|\[at\]| at ")
 SPELLED_DOT = re.compile(r"\(dot\)|\[dot\]| dot ")
-#: What nobody writes but to spell out an address: such candidates are unlabelled, not wrong.
-BRACKETS = re.compile(r"\((?:at|dot)\)|\[(?:at|dot)\]")
+#: What is hardly written but to spell out an address: such candidates are unlabelled, not
+#: wrong.
+SURE = re.compile(r"\((?:at|dot)\)|\[(?:at|dot)\]| dot ")
 WORDS = re.compile(r"[A-Za-z0-9._%+-]+")
 #: Candidates of a text that the trees judge at once.
 _TOGETHER = 1 << 14
@@ -220,7 +221,7 @@ def examples(text: str) -> Iterator[tuple[str, list[float], bool]]:
         at = bisect_right(own[kind], (start, len(text)))
         low, high = own[kind][at - 1] if at else (0, 0)
         same = end <= high and high - low - (end - start) <= 3
-        if not same and (not free(start, end) or BRACKETS.search(text, start, end)):
+        if not same and (not free(start, end) or SURE.search(text, start, end)):
             continue
         yield kind, features(text, start, end), same
         if same and kind == "email":
