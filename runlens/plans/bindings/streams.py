@@ -139,16 +139,28 @@ def _sent_lines(spark, out):
     )
 
 
+# Rows of the given tables that make up one file of a stream's input.
+FILE_ROWS = 500_000
+
+
+def files_per_batch(rows: int, batches: int) -> int:
+    """Files of each micro-batch, so that no task's share grows with the tables."""
+    return max(1, -(-rows // (FILE_ROWS * batches)))
+
+
 @query("stream_progress_compacted", progress_sql())
 def stream_progress_compacted(spark, folder):
     """Six micro-batches into a change log that merges two segments of a level."""
     out = new_folder(spark, "changelog")
-    events = mixed_events(load(spark, folder, "orders"), load(spark, folder, "lineitem"))
-    events.repartition(6, "stage_id").write.parquet(f"{out}/in")
+    orders, items = load(spark, folder, "orders"), load(spark, folder, "lineitem")
+    events = mixed_events(orders, items)
+    files = files_per_batch(orders.count() + items.count(), 6)
+    events.repartition(6 * files, "stage_id").write.parquet(f"{out}/in")
     arriving = (
-        spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/in")
+        spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files).parquet(f"{out}/in")
     )
-    run_available(write_changes(progress_updates(arriving), f"{out}/log", fanout=2), f"{out}/checkpoint")
+    with rocksdb_state(spark):
+        run_available(write_changes(progress_updates(arriving), f"{out}/log", fanout=2), f"{out}/checkpoint")
     return latest_changes(spark, f"{out}/log").select(*COUNTERS)
 
 

@@ -1,0 +1,55 @@
+"""Inputs of the streams: micro-batches stay as many when the tables grow, their files do not."""
+
+import datetime
+
+import duckdb
+import pytest
+
+from compare import difference
+from runlens.plans.bindings import streams
+from runlens.plans.bindings.registry import oracles, queries
+
+ORDERS = "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz, o_orderpriority string"
+ITEMS = (
+    "l_orderkey long, l_linenumber int, l_shipdate timestamp_ntz, l_returnflag string, l_linestatus string"
+)
+
+
+def day(n):
+    return datetime.datetime(2024, 1, 1) + datetime.timedelta(days=n)
+
+
+@pytest.fixture
+def folder(spark, tmp_path):
+    orders = [(i, i % 7, "FO"[i % 2], day(i % 50), f"{i % 3}-HIGH") for i in range(300)]
+    items = [(i % 300, i % 5, day(i % 90), "RN"[i % 2], "FO"[i % 3 > 0]) for i in range(1200)]
+    spark.createDataFrame(orders, ORDERS).coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(items, ITEMS).coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("rows, files", [(0, 1), (1, 1), (3_000_000, 1), (3_000_001, 2), (270_000_000, 90)])
+def test_files_follow_the_rows(rows, files):
+    assert streams.files_per_batch(rows, 6) == files
+
+
+def test_six_batches_of_several_files(spark, folder, monkeypatch):
+    seen = []
+
+    def run(writer, checkpoint):
+        seen.append((run_available(writer, checkpoint), checkpoint))
+        return seen[-1][0]
+
+    run_available = streams.run_available
+    monkeypatch.setattr(streams, "run_available", run)
+    monkeypatch.setattr(streams, "FILE_ROWS", 50)  # 1500 rows: 30 files
+    found = queries()["stream_progress_compacted"](spark, folder)
+    con = duckdb.connect()
+    for name in ("orders", "lineitem"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet/*.parquet'")
+    assert difference(found, con, oracles()["stream_progress_compacted"]) == ""
+    [(query, checkpoint)] = seen
+    assert len(query.recentProgress) == 6
+    assert all(p.numInputRows for p in query.recentProgress)
+    written = spark.read.parquet(checkpoint.removesuffix("checkpoint") + "in").inputFiles()
+    assert len(written) == 30
