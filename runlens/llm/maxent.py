@@ -47,6 +47,7 @@ _KINDS = 3
 _END = np.uint64(0x5851F42D4C957F2D)
 _BLOCK = 256  # feature rows in one row of a table of weights
 _REST = CLASSES - 1
+_FEW = 8  # rows of a group that are added one after the other
 
 
 class Lookup:
@@ -144,23 +145,52 @@ def classes_of(t: Tokens, v: Vocabulary) -> np.ndarray:
 
 def log_classes(weights: np.ndarray, prior: np.ndarray, f: np.ndarray) -> np.ndarray:
     """Natural logarithms of the class probabilities of a batch of tokens."""
-    z = weights[0][f[0]] + prior
+    z = weights[0].take(f[0], axis=0)
+    z += prior
     for k in range(1, _KINDS):
-        z += weights[k][f[k]]
+        z += weights[k].take(f[k], axis=0)
     z -= z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
+    return z
+
+
+def group_sums(g: np.ndarray, order: np.ndarray, first: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Sums of the rows ``order[first[i]:first[i] + times[i]]`` of ``g``, one row each.
+
+    The same numbers as ``np.add.reduceat(g[order], first)``, which is slow on groups of a
+    few rows, as most are.
+    """
+    sums = g.take(order[first], axis=0)
+    few = np.flatnonzero((times > 1) & (times <= _FEW))
+    if len(few):
+        few = few[np.argsort(-times[few], kind="stable")]
+        size, at = times[few], first[few]
+        rest = g.take(order[at + 1], axis=0)
+        for j in range(2, int(size[0])):
+            n = int(np.searchsorted(-size, -j))  # groups of more than j rows
+            rest[:n] += g.take(order[at[:n] + j], axis=0)
+        sums[few] += rest
+    many = np.flatnonzero(times > _FEW)
+    if len(many):
+        size = times[many]
+        start = np.cumsum(size) - size
+        rows = np.repeat(first[many] - start, size) + np.arange(size.sum())
+        columns = np.ascontiguousarray(g.take(order[rows], axis=0).T)
+        sums[many] = np.add.reduceat(columns, start, axis=1).T
+    return sums
 
 
 def train_step(weights: np.ndarray, power: np.ndarray, seen: np.ndarray, prior: np.ndarray, f: np.ndarray, y: np.ndarray) -> None:
     """One AdaGrad step on a batch; ``power`` has a sum of squares for each feature."""
-    g = np.exp(log_classes(weights, prior, f))
+    g = log_classes(weights, prior, f)
+    np.exp(g, out=g)
     g[np.arange(len(y)), y] -= 1
     for k in range(_KINDS):
         order = np.argsort(f[k], kind="stable")
         own = f[k][order]
         first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
         times = np.diff(np.append(first, len(own)))
-        pull = np.add.reduceat(g[order], first, axis=0)
+        pull = group_sums(g, order, first, times)
         at = own[first]
         power[k][at] += np.einsum("ij,ij->i", pull, pull)
         weights[k][at] -= (RATE / np.sqrt(power[k][at] + 1e-6))[:, None] * pull
