@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from runlens.llm.bytetext import PLAIN, Rows, chunks, mix, shingles, words
 from runlens.llm.components import components
 from runlens.llm.registry import query
-from runlens.llm.shared import drop, load, new_folder
+from runlens.llm.shared import drop, load, new_folder, size_of
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -56,6 +56,8 @@ SALT_SIZE = 64
 #: Documents, and rarest shingles of all of them, of a block of a key.
 BLOCK = 1024
 BLOCK_SHINGLES = 1 << 21
+#: Bytes of signed documents for each file of the tables made from them.
+FILE_BYTES = 4 << 20
 #: Fewest equal samples, of ``SAMPLES``, of two documents worth comparing.
 AGREE = 58
 
@@ -372,6 +374,19 @@ def near_duplicates(
     least: float = SIMILARITY,
 ) -> DataFrame:
     """``(id, class_id)`` for every row; the smallest id of a class names it."""
+    found, files = _classes(docs, id_col, text_col, least)
+    return found.coalesce(files)
+
+
+def _classes(
+    docs: DataFrame, id_col: str, text_col: str, least: float
+) -> tuple[DataFrame, int]:
+    """Classes, and the number of files that tables of the size of ``docs`` are worth.
+
+    Tables are written in files by their bytes, not one for each shuffle partition: every
+    file has its price (on a local file system without Hadoop's native library, several
+    processes forked from the executor's JVM).
+    """
     spark = docs.sparkSession
     folder = new_folder(spark, "neardup")
     source = docs.select(
@@ -382,43 +397,44 @@ def near_duplicates(
     words_, runs = frequencies(source)
     idf, often = spark.sparkContext.broadcast(words_), spark.sparkContext.broadcast(runs)
 
-    few = 4 * spark.sparkContext.defaultParallelism
-
-    def written(df: DataFrame, name: str, small: bool = False) -> DataFrame:
-        (df.coalesce(few) if small else df).write.parquet(f"{folder}/{name}")
+    def written(df: DataFrame, name: str, most: int | None = None) -> DataFrame:
+        (df.coalesce(most) if most else df).write.parquet(f"{folder}/{name}")
         return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
 
     signed = written(known.mapInArrow(_signer(idf, often, least), _SIGNED), "signed")
+    cores = spark.sparkContext.defaultParallelism
+    files = max(cores, -(-size_of(spark, f"{folder}/signed") // FILE_BYTES))
+    few = min(4 * cores, files)
     nodes = signed.groupBy("signature", "second").agg(
         F.min("doc_id").alias("node"),
         F.first("keys").alias("keys"),
         *(F.first(c).alias(c) for c in ("rare", "before", "weight", *_BITS)),
     )
-    nodes = written(nodes, "nodes")
+    nodes = written(nodes, "nodes", files)
     one = F.struct("node", "weight", *_BITS).alias("d")
     placed = nodes.filter("signature <> 0").select(one, F.posexplode("keys").alias("band", "key"))
     placed = placed.select(F.xxhash64("band", "key").alias("key"), "band", "d")
     heads = placed.groupBy("key").agg(F.min("d").alias("p"), F.count(F.lit(1)).alias("n"))
-    members = written(placed.join(heads.filter("n > 1"), "key").drop("n"), "members")
+    members = written(placed.join(heads.filter("n > 1"), "key").drop("n"), "members", files)
     others = members.filter("d.node <> p.node")
     pairs = others.filter(_agree("p", "d", least)).select(
         F.col("p.node").alias("u"), F.col("d.node").alias("v")
     )
     wanted = members.select(F.col("d.node").alias("doc_id")).distinct()
-    texts = written(known.join(wanted.hint("merge"), "doc_id", "left_semi"), "texts")
-    links = written(_links(pairs.distinct(), texts, idf, least), "links-0")
-    parts = written(components(links), "parts-0", True)
-    opened = written(_open_pairs(members, parts, nodes, least), "open")
+    texts = written(known.join(wanted.hint("merge"), "doc_id", "left_semi"), "texts", files)
+    links = written(_links(pairs.distinct(), texts, idf, least), "links-0", files)
+    parts = written(components(links, few), "parts-0", few)
+    opened = written(_open_pairs(members, parts, nodes, least), "open", files)
     if opened.limit(1).count():
-        links = written(_links(opened, texts, idf, least), "links-1")
-        parts = written(components(links.unionByName(_as_edges(parts))), "parts-1", True)
+        links = written(_links(opened, texts, idf, least), "links-1", files)
+        parts = written(components(links.unionByName(_as_edges(parts)), few), "parts-1", few)
     drop(spark, f"{folder}/texts")
     named = nodes.select("signature", "second", "node").join(parts, "node", "left")
     classes = named.select("signature", "second", F.coalesce("component", "node").alias("class_id"))
     copies = signed.select("doc_id", "signature", "second").join(classes, ["signature", "second"])
     found = copies.select("doc_id", "class_id")
     lost = source.filter("doc_id IS NULL").select("doc_id", F.lit(None).cast("long").alias("class_id"))
-    return found.unionByName(lost).withColumnRenamed("doc_id", id_col)
+    return found.unionByName(lost).withColumnRenamed("doc_id", id_col), files
 
 
 def _as_edges(parts: DataFrame) -> DataFrame:
@@ -570,13 +586,10 @@ def first_of_class(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
     Of rows that share id and text all stay.
     """
-    later = (
-        near_duplicates(docs, id_col)
-        .filter(F.col(id_col) != F.col("class_id"))
-        .select(id_col)
-        .distinct()
-    )
-    return docs.join(later, id_col, "left_anti").select(*(f"`{c}`" for c in docs.columns))
+    found, files = _classes(docs, id_col, "text", SIMILARITY)
+    later = found.filter(F.col(id_col) != F.col("class_id")).select(id_col).distinct()
+    left = docs.join(later, id_col, "left_anti").select(*(f"`{c}`" for c in docs.columns))
+    return left.coalesce(files)
 
 
 @query("op10_icws_near_dups")

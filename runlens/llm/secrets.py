@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from runlens.llm.registry import query
 from runlens.llm.shared import load
-from runlens.llm.spans import Span, Taken, add_spans, count_of, joined, without
+from runlens.llm.spans import Span, Taken, add_spans, count_of, cut_spans, joined
 
 KINDS = ("assign", "access", "hex", "token")
 
@@ -148,7 +148,10 @@ def scan_secrets(
     column: str = "spans",
 ) -> DataFrame:
     """Add the column of spans; ``vocabulary`` is a file of ranks."""
+    return add_spans(df, text_col, _maker(vocabulary, leaks_only), column)
 
+
+def _maker(vocabulary: str, leaks_only: bool):
     def maker():
         def test(texts: pa.Array) -> pa.Array:
             return pc.match_substring_regex(texts, HINT).fill_null(False)
@@ -159,7 +162,7 @@ def scan_secrets(
 
         return test, find
 
-    return add_spans(df, text_col, maker, column)
+    return maker
 
 
 def redact_secrets(
@@ -170,10 +173,7 @@ def redact_secrets(
     Digests and numbers that the base pattern ``hex`` finds go too: a key of 32 or 64 hex
     digits looks the same.  Only one digit repeated (a row of zeros) is no secret and stays.
     """
-    found = scan_secrets(df, vocabulary, text_col, leaks_only=True, column="_secret_spans")
-    return found.withColumn(text_col, without(text_col, mark, "_secret_spans")).select(
-        *(f"`{c}`" for c in df.columns)
-    )
+    return cut_spans(df, text_col, _maker(vocabulary, True), mark)
 
 
 @query("op6_secret_tokens")

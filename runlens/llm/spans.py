@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # A span is (kind, start, end, whether a base pattern found it), in code points.
@@ -86,6 +87,33 @@ def add_spans(
     return kept.mapInArrow(run, schema)
 
 
+def cut_spans(
+    df: DataFrame,
+    text_col: str,
+    maker: Callable[[], tuple[Callable[[pa.Array], pa.Array], Finder]],
+    mark: str,
+) -> DataFrame:
+    """The same rows and columns, every span of a text replaced by ``mark``.
+
+    ``maker`` is that of ``add_spans``.  Finding and cutting are one pass, so that a task
+    needs one Python worker.
+    """
+    at = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        test, find = maker()
+        for batch in batches:
+            texts = batch.column(at)
+            flags = test(texts)
+            some = (t.as_py() for t in texts.filter(flags))
+            made = [cut_out(t, [s[1:3] for s in find(t)], mark) for t in some]
+            columns = list(batch.columns)
+            columns[at] = pc.replace_with_mask(texts, flags, pa.array(made, texts.type))
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    return df.mapInArrow(run, df.schema)
+
+
 def joined(kinds: tuple[str, ...], by_kind: bool, base_only: bool, column: str = "spans") -> Column:
     """``kind:start:end`` of the spans, comma-joined, by start and kind or kind and start."""
     spans = F.col(column)

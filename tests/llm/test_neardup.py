@@ -1,12 +1,13 @@
 import random
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import cases
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from runlens.llm import neardup
+from runlens.llm import neardup, shared
 from runlens.llm.bytetext import chunks
 from runlens.llm.components import components
 from runlens.llm.neardup import band_keys, first_of_class, jaccard, near_duplicates, weighted_sets
@@ -84,6 +85,28 @@ def test_one_document_of_each_class_stays(spark):
     assert Counter(r["doc_id"] for r in kept.collect()) == Counter([*classes, 7, None])
 
 
+def test_small_tables_are_few_files(spark, tmp_path):
+    """Every file has its price, so their number follows the bytes, not the shuffle partitions."""
+    rows, made = [*cases.ROWS, *families(4)], len(shared._made)
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        first_of_class(cases.frame(spark, rows)).write.parquet(f"{tmp_path}/kept")
+        kept = spark.read.parquet(f"{tmp_path}/kept")
+        near_duplicates(cases.frame(spark, rows)).write.parquet(f"{tmp_path}/classes")
+        assert spark.read.parquet(f"{tmp_path}/classes").count() == len(rows)
+        assert {r["doc_id"] for r in kept.collect()} == set(brute(rows).values())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    tables = [t for f in shared._made[made:] for t in Path(f.removeprefix("file://")).iterdir()]
+    files = {f"{t.parent.name}/{t.name}": len(list(t.glob("part-*"))) for t in [*tables, tmp_path / "kept", tmp_path / "classes"]}
+    assert {t.name for t in tables} >= {"signed", "nodes", "members", "links-0", "parts-0", "open"}
+    assert max(files.values()) <= spark.sparkContext.defaultParallelism, files
+
+
 def test_null_ids_and_empty_tables(spark):
     rows = [(None, "a b c d e f", None, None), (1, "a b c d e f", None, None)]
     found = near_duplicates(cases.frame(spark, rows)).collect()

@@ -86,6 +86,13 @@ def test_redaction_keeps_rows_and_columns(spark):
     assert "0" * 64 in texts[42] and "deadbeef0123456789" not in texts[42]
 
 
+def test_redaction_is_one_pass_in_python(spark):
+    """A task holds one Python worker, not one that finds and one that cuts."""
+    clean = redact_secrets(cases.frame(spark, SECRETS), PATH)
+    plan = clean._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "EvalPython" not in plan
+
+
 def test_redaction_takes_hex_of_any_length(spark):
     keys = ["9f86d081884c7d659a2feaa0c55ad015", "a3" + "0123456789abcdef" * 3 + "fedcba98765432", "7305918264307591", "abcdefabcdefabcd", "deadbeef01deadbeef01"]
     rows = [(60 + i, f"the key is {k} indeed", None, None) for i, k in enumerate(keys)]
